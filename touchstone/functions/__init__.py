@@ -9,6 +9,7 @@ from touchstone.functions.values import (
     one_of,
     present,
     quoted,
+    with_timestamps,
     within_tolerance,
 )
 
@@ -23,5 +24,6 @@ __all__ = [
     "one_of",
     "present",
     "quoted",
+    "with_timestamps",
     "within_tolerance",
 ]

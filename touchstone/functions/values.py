@@ -6,9 +6,9 @@ Spark's own functions, so rules that use them stay inside one projection.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAY_US = 86_400_000_000
@@ -18,11 +18,13 @@ UNBOUNDED_US = 9_223_372_036_854_775_807
 # Fixed value: the absolute tolerance of every decimal comparison.
 TOLERANCE = "0.000001"
 
-_PLAIN_STAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"
-_CLOCK = (
-    r"(?s)^.(\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
-    r"(Z|[+-]\d{2}(?::\d{2}(?::\d{2}(?:\.\d+)?)?|\d{2}(?:\d{2}(?:\.\d+)?)?)?)?$"
+_PLAIN_STAMP = r"^(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"
+_STAMP = (
+    r"(?s)^(?!0000)(?:\d{4}-\d{2}-\d{2}|\d{8})"
+    r"(?:.(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
+    r"(?:Z|[+-]\d{2}(?::\d{2}(?::\d{2})?|\d{2}(?:\d{2})?)?)?)?$"
 )
+_FIELDS = r"(?s)^(\d{4})-?(\d{2})-?(\d{2})(?:.(\d{2})(?::?(\d{2}))?(?::?(\d{2}))?)?"
 
 
 def missing(value: Column) -> Column:
@@ -57,6 +59,26 @@ def iso_date(value: Column) -> Column:
     return F.when(~value.startswith("0000"), extended.try_cast("date"))
 
 
+def _spelled_out(value: Column) -> Column:
+    """Any accepted ISO spelling as ``YYYY-MM-DD HH:MM:SS[.f][offset]``; else null."""
+    parts = F.regexp_replace(value, _FIELDS, "$1-$2-$3 $4:$5:$6")
+    filled = F.replace(F.replace(parts, F.lit(" :"), F.lit(" 00:")), F.lit("::"), F.lit(":00:"))
+    whole = F.translate(F.regexp_replace(filled, r":(?=$|[Z+-])", ":00"), ",", ".")
+    return F.when(value.rlike(_PLAIN_STAMP), value).when(value.rlike(_STAMP), whole)
+
+
+def _moment(text: Column) -> Column:
+    clock = F.substr(text, F.lit(11))
+    wall = F.concat(F.substring(text, 1, 10), F.regexp_replace(clock, r"[Z+-].*$", ""), F.lit("Z"))
+    wall_us = F.unix_micros(wall.try_cast("timestamp"))
+    aware = clock.rlike("[Z+-]")
+    at_us = F.when(aware, F.unix_micros(text.try_cast("timestamp"))).otherwise(wall_us)
+    return F.when(
+        at_us.isNotNull(),
+        F.struct(wall_us.alias("wall_us"), at_us.alias("at_us"), aware.alias("aware")),
+    )
+
+
 def iso_timestamp(value: Column) -> Column:
     """ISO text as ``struct<wall_us, at_us, aware>``; null when malformed.
 
@@ -65,50 +87,16 @@ def iso_timestamp(value: Column) -> Column:
     Plain integers keep the result free of the session time zone and cheap to
     sort and compare.
     """
-    plain = value.rlike(_PLAIN_STAMP)
-    extended = plain | value.rlike(r"^\d{4}-\d{2}-\d{2}")
-    basic = value.rlike(r"^\d{8}")
-    day = iso_date(
-        F.when(extended, F.substring(value, 1, 10)).when(basic, F.substring(value, 1, 8))
-    )
-    tail = F.when(extended, F.substr(value, F.lit(11))).otherwise(F.substr(value, F.lit(9)))
-    timed = tail.rlike(_CLOCK)
-    clock = F.when(plain, F.translate(F.substring(value, 12, 8), ":", "")).otherwise(
-        F.translate(F.regexp_extract(tail, _CLOCK, 1), ":", "")
-    )
-    offset = F.when(plain, F.lit("")).otherwise(F.regexp_extract(tail, _CLOCK, 2))
-
-    def digits(text: Column, first: int) -> Column:
-        return F.coalesce(F.substring(text, first, 2).try_cast("bigint"), F.lit(0))
-
-    fraction = F.regexp_extract(clock, r"[.,](\d+)$", 1)
-    micros = F.rpad(F.substring(fraction, 1, 6), 6, "0").cast("bigint")
-    hours, minutes, seconds = digits(clock, 1), digits(clock, 3), digits(clock, 5)
-    wall = (
-        F.unix_date(day).cast("bigint") * F.lit(DAY_US)
-        + hours * F.lit(HOUR_US)
-        + minutes * F.lit(60_000_000)
-        + seconds * F.lit(1_000_000)
-        + F.when(plain, F.lit(0)).otherwise(micros)
-    )
-    shift_text = F.translate(F.substr(offset, F.lit(2)), ":", "")
-    shift = digits(shift_text, 1) * 3600 + digits(shift_text, 3) * 60 + digits(shift_text, 5)
-    signed = F.when(offset.startswith("-"), -shift).otherwise(shift)
-    valid = (
-        day.isNotNull()
-        & (plain | (tail == "") | timed)
-        & (hours < 24)
-        & (minutes < 60)
-        & (seconds < 60)
-        & (shift < 86_400)
-    )
-    return F.when(
-        valid,
-        F.struct(
-            wall.alias("wall_us"),
-            (wall - signed * F.lit(1_000_000)).alias("at_us"),
-            (offset != "").alias("aware"),
-        ),
+    return _moment(_spelled_out(value))
+
+
+def with_timestamps(rows: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add ``iso_timestamp`` columns in two projections, so no text is parsed twice."""
+    texts = {f"_text{name}": _spelled_out(value) for name, value in columns.items()}
+    return (
+        rows.withColumns(texts)
+        .withColumns({name: _moment(F.col(f"_text{name}")) for name in columns})
+        .drop(*texts)
     )
 
 

@@ -9,11 +9,11 @@ from touchstone.functions import (
     finite_decimal,
     interval_end_us,
     iso_date,
-    iso_timestamp,
     missing,
     one_of,
     present,
     quoted,
+    with_timestamps,
     within_tolerance,
 )
 from touchstone.functions.values import DAY_US, HOUR_US, TOLERANCE
@@ -209,10 +209,15 @@ def _terminated_leads(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFram
 
 
 def _schedule_prepare(rows: DataFrame) -> DataFrame:
+    rows = with_timestamps(
+        rows,
+        {
+            "_start": F.col("scheduled_start_timestamp"),
+            "_end": F.col("scheduled_end_timestamp"),
+        },
+    )
     return rows.withColumns(
         {
-            "_start": iso_timestamp(F.col("scheduled_start_timestamp")),
-            "_end": iso_timestamp(F.col("scheduled_end_timestamp")),
             "_day": F.unix_date(iso_date(F.col("scheduled_date"))),
             "_hours": finite_decimal(F.col("planned_crew_hours")),
             "_size": finite_decimal(F.col("planned_crew_size")),
@@ -314,11 +319,12 @@ def _schedule_cycles(rows: DataFrame, _tables: dict[str, DataFrame]) -> DataFram
 
 
 def _assignment_prepare(rows: DataFrame) -> DataFrame:
-    return rows.withColumns(
+    return with_timestamps(
+        rows,
         {
-            "_start": iso_timestamp(F.col("assignment_start_timestamp")),
-            "_end": iso_timestamp(F.col("assignment_end_timestamp")),
-        }
+            "_start": F.col("assignment_start_timestamp"),
+            "_end": F.col("assignment_end_timestamp"),
+        },
     )
 
 
@@ -347,13 +353,17 @@ def _assignment_checks() -> list[Check]:
 
 def _assignment_periods(rows: DataFrame) -> DataFrame:
     """Valid periods; times with and without an offset are never compared."""
-    return rows.where(_assignment_valid()).select(
-        ROW,
-        "_record_id",
-        "equipment_id",
-        F.col("_start.aware").alias("aware"),
-        F.col("_start.at_us").alias("start_us"),
-        interval_end_us(F.col("assignment_end_timestamp"), F.col("_end")).alias("end_us"),
+    period = F.when(
+        _assignment_valid(),
+        F.struct(
+            F.col("_start.aware").alias("aware"),
+            F.col("_start.at_us").alias("start_us"),
+            interval_end_us(F.col("assignment_end_timestamp"), F.col("_end")).alias("end_us"),
+        ),
+    )
+    # Unnesting drops the invalid rows without parsing again for a filter.
+    return rows.select(
+        ROW, "_record_id", "equipment_id", F.inline(F.array_compact(F.array(period)))
     )
 
 
@@ -435,16 +445,22 @@ _PAYLOAD = (
 def _threshold_periods(rows: DataFrame, _tables: dict[str, DataFrame]) -> DataFrame:
     last_text = F.col("effective_end_date")
     usable = F.col("_from_day").isNotNull() & (missing(last_text) | F.col("_to_day").isNotNull())
-    active = rows.where(F.col("is_active").eqNullSafe("True") & usable).select(
+    period = F.when(
+        usable,
+        F.struct(
+            F.col("_from_day").cast("long").alias("first_day"),
+            F.when(missing(last_text), F.lit(_FOREVER)).otherwise(F.col("_to_day")).cast("long").alias("last_day"),
+        ),
+    )
+    active = rows.where(F.col("is_active").eqNullSafe("True")).select(
         ROW,
         "_record_id",
         "activity_id",
         "metric_code",
         "severity",
         F.when(present(F.col("equipment_type_id")), F.col("equipment_type_id")).alias("equipment_type"),
-        F.col("_from_day").cast("long").alias("first_day"),
-        F.when(missing(last_text), F.lit(_FOREVER)).otherwise(F.col("_to_day")).cast("long").alias("last_day"),
         F.to_json(F.struct(*_PAYLOAD), {"ignoreNullFields": "false"}).alias("payload"),
+        F.inline(F.array_compact(F.array(period))),
     )
     scope = ["activity_id", "metric_code", "severity", "equipment_type"]
     met = period_conflicts(active, scope, "first_day", "last_day", "payload", ROW)
