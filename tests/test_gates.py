@@ -134,6 +134,7 @@ def test_incremental_forecasts(spark, tmp_path):
 
     def go():
         upsert_new_forecasts(spark, str(root), table, checkpoint, mode="quarantine", rejected_root=rejected).awaitTermination()
+        spark.catalog.refreshTable(table)  # batches write from a session of their own
         return spark.table(table)
 
     assert go().count() == 6

@@ -28,7 +28,8 @@ def upsert_new_forecasts(
 ) -> StreamingQuery:
     """Read the new files below ``root`` and upsert their hours into ``table``.
 
-    Ends when everything there has been read.  In ``quarantine`` mode the
+    Ends when everything there has been read.  Batches run in a session of their
+    own, so refresh the table before reading it in this one.  In ``quarantine`` mode the
     reasons of kept-out records go to ``rejected_root``, one folder per batch.
     """
     records = (
