@@ -95,3 +95,9 @@ def test_chains(spark):
     }
     totals = {r.root: (r.links, r.distinct_moments) for r in chain_summary(members, frame, "id", "at").collect()}
     assert totals == {"1": (1, 2), "2": (1, 1), "3": (2, 3), "5": (3, 4)}
+
+
+def test_chain_of_many_links(spark):
+    rows = [(i, str(i), str(i - 1) if i else "", "Rescheduled", "t") for i in range(37)]
+    got = chains(spark.createDataFrame(rows, SCHEMA), "id", "pred", "status", "Rescheduled", "i").collect()
+    assert sorted((r.root, r.depth, int(r.node)) for r in got) == [("0", i, i) for i in range(37)]

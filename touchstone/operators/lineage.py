@@ -93,27 +93,38 @@ def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, ord
     roots = unreferenced(rows.where(F.col(status) == value), node, links, "node").select(
         F.col(node).alias("root")
     )
-    # Pointers back towards the root; a pointer whose target has none is finished.
-    hops = links.select("node", F.col("from").alias("top"), F.lit(1).cast("long").alias("depth"))
-    done: list[DataFrame] = []
-    active = None
-    while True:
-        ahead = hops.select(
-            F.col("node").alias("top"), F.col("top").alias("next_top"), F.col("depth").alias("more")
+    # Pointers back towards the root; one is settled when its top has no predecessor.
+    inner = links.select(F.col("node").alias("top")).distinct().withColumn("_inner", F.lit(True))
+    pointers = links.select("node", F.col("from").alias("top"), F.lit(1).cast("long").alias("depth"))
+    pointers = materialize(
+        pointers.join(inner, "top", "left").select(
+            "node", "top", "depth", F.col("_inner").isNull().alias("settled")
+        )
+    )
+    settled, moving = pointers.where("settled"), pointers.where("NOT settled")
+    left = moving.count()
+    while left:
+        ahead = settled.unionByName(moving).select(
+            F.col("node").alias("top"),
+            F.col("top").alias("next_top"),
+            F.col("depth").alias("more"),
+            F.col("settled").alias("next_settled"),
         )
-        joined = materialize(hops.join(ahead, "top", "left"))
-        done.append(joined.where("next_top IS NULL").select("node", "top", "depth"))
-        hops = joined.where("next_top IS NOT NULL").select(
-            "node", F.col("next_top").alias("top"), (F.col("depth") + F.col("more")).alias("depth")
+        joined = materialize(
+            moving.join(ahead, "top").select(
+                "node",
+                F.col("next_top").alias("top"),
+                (F.col("depth") + F.col("more")).alias("depth"),
+                F.col("next_settled").alias("settled"),
+            )
         )
-        left = hops.count()
-        # Only members of a closed loop never finish; they hang from no root.
-        if left == 0 or left == active:
+        settled = settled.unionByName(joined.where("settled"))
+        moving = joined.where("NOT settled")
+        before, left = left, moving.count()
+        # Only members of a closed loop never settle; they hang from no root.
+        if left == before:
             break
-        active = left
-    reached = done[0]
-    for part in done[1:]:
-        reached = reached.unionByName(part)
+    reached = settled
     members = reached.join(roots, reached["top"] == roots["root"]).select("root", "depth", "node")
     return members.unionByName(roots.select("root", F.lit(0).cast("long").alias("depth"), F.col("root").alias("node")))
 
