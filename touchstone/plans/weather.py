@@ -68,8 +68,8 @@ def _first(*steps: tuple[Column, Column]) -> Column:
     return chosen
 
 
-def contract(records: DataFrame) -> DataFrame:
-    """Add ``violation``: the first broken clause of the record contract, else null."""
+def _checked(records: DataFrame) -> DataFrame:
+    """Add ``violation`` and the hourly arrays it was judged by (``_a_<field>``)."""
     record = F.col("record")
     rows = records.withColumns(
         {
@@ -129,7 +129,13 @@ def contract(records: DataFrame) -> DataFrame:
             F.lit("Bronze request parameters are missing required fields: ['forecast_days']"),
         ),
     ]
-    return rows.withColumn("violation", _first(*steps)).select(*records.columns, "violation")
+    arrays = [f"_a_{n}" for n in HOURLY_FIELDS]
+    return rows.withColumn("violation", _first(*steps)).select(*records.columns, *arrays, "violation")
+
+
+def contract(records: DataFrame) -> DataFrame:
+    """Add ``violation``: the first broken clause of the record contract, else null."""
+    return _checked(records).select(*records.columns, "violation")
 
 
 def response_contract(payloads: DataFrame, column: str, variables: Sequence[str]) -> DataFrame:
@@ -172,69 +178,100 @@ def _stamp_text(value: Column) -> Column:
     return F.when(kind(value) == "STRING", F.trim(F.try_variant_get(value, "$", "string")))
 
 
+def _fault(source: Column, value: Column, path: Column, wanted: str, needed: bool) -> Column:
+    """Why a value could not be converted; null when it could."""
+    broken = value.isNull() if needed else value.isNull() & ~absent(source)
+    reason = F.when(
+        F.coalesce(kind(source) == "BOOLEAN", F.lit(False)),
+        F.concat(F.lit("'"), path, F.lit("' cannot be a Boolean value.")),
+    ).otherwise(
+        F.concat(F.lit("'"), path, F.lit(f"' could not be converted to {wanted}: "), F.to_json(source), F.lit("."))
+    )
+    return F.when(broken, reason)
+
+
+def _stamp_fault(value: Column, path: Column) -> Column:
+    return F.when(
+        value.isNull(), F.concat(F.lit("'"), path, F.lit("' contains an invalid ISO-8601 timestamp."))
+    )
+
+
+# Record-level numbers: name, path, whole, needed.
+_RECORD_NUMBERS = (
+    ("latitude", "payload.latitude", False, False),
+    ("longitude", "payload.longitude", False, False),
+    ("elevation", "payload.elevation", False, False),
+    ("utc_offset_seconds", "payload.utc_offset_seconds", True, True),
+    ("forecast_days", "request_parameters.forecast_days", True, True),
+    ("attempt_count", "attempt_count", True, True),
+    ("http_status_code", "http_status_code", True, True),
+)
+_RECORD_TEXTS = {
+    "pipeline_run_id": "pipeline_run_id",
+    "source_system": "source_system",
+    "endpoint_name": "endpoint_name",
+    "location_id": "location_id",
+    "location_name": "location_name",
+    "timezone": "payload.timezone",
+    "timezone_abbreviation": "payload.timezone_abbreviation",
+    **{name: f"payload.hourly_units.{source}" for name, source in UNITS.items()},
+}
+_WHOLE_HOURS = ("relative_humidity_2m", "weather_code")
+COLUMNS = (
+    "pipeline_run_id", "source_system", "endpoint_name", "location_id", "location_name",
+    "ingestion_timestamp_utc", "forecast_timestamp_local", "forecast_hour_index",
+    *HOURLY_FIELDS[1:], "latitude", "longitude", "elevation", "timezone", "timezone_abbreviation",
+    "utc_offset_seconds", *UNITS, "forecast_days", "attempt_count", "http_status_code",
+)
+
+
 def hourly_rows(checked: DataFrame) -> DataFrame:
-    """One row per forecast hour of the records without a violation, with ``_errors``."""
+    """One row per forecast hour of the sound records, with ``_errors``.
+
+    Record values are converted once per record, before the hours are unnested,
+    and the nested record itself is left behind there.  Unnesting nothing for a
+    record with a violation keeps it out without judging it again in a filter.
+    """
     record = F.col("record")
-    arrays = [
-        array_of(at(record, f"payload.hourly.{n}")).alias(n) for n in HOURLY_FIELDS
-    ]
-    hours = checked.where("violation IS NULL").select(
-        RECORD_FILE, "record", F.posexplode(F.arrays_zip(*arrays)).alias("_hour", "_at")
+    numbers = {name: at(record, path) for name, path, _, _ in _RECORD_NUMBERS}
+    ingested = _stamp_text(at(record, "ingestion_timestamp_utc"))
+    rows = checked.withColumns({f"_n_{name}": source for name, source in numbers.items()})
+    rows = rows.withColumns(
+        {name: text(at(record, path)) for name, path in _RECORD_TEXTS.items()}
+        | {
+            name: F.when(~absent(F.col(f"_n_{name}")), (strict_int if whole else strict_float)(F.col(f"_n_{name}")))
+            for name, _, whole, _ in _RECORD_NUMBERS
+        }
+        | {"ingestion_timestamp_utc": F.timestamp_micros(iso_timestamp(ingested)["at_us"])}
     )
+    faults = [
+        _fault(F.col(f"_n_{name}"), F.col(name), F.lit(path), "integer" if whole else "float", needed)
+        for name, path, whole, needed in _RECORD_NUMBERS
+    ]
+    faults.append(_stamp_fault(F.col("ingestion_timestamp_utc"), F.lit("ingestion_timestamp_utc")))
+    levels = [*_RECORD_TEXTS, *numbers, "ingestion_timestamp_utc"]
+    zipped = F.arrays_zip(*[F.col(f"_a_{n}").alias(n) for n in HOURLY_FIELDS])
+    hours = rows.withColumn("_faults", F.array_compact(F.array(*faults))).select(
+        RECORD_FILE, *levels, "_faults",
+        F.posexplode(F.when(F.col("violation").isNull(), zipped)).alias("forecast_hour_index", "_at"),
+    )
     one = {n: F.col(f"_at.{n}") for n in HOURLY_FIELDS}
-    values: dict[str, Column] = {}
-    errors: list[Column] = []
-
-    def optional(name: str, source: Column, cast, path: str | Column, wanted: str, needed: bool = False) -> None:
-        values[name] = F.when(~absent(source), cast(source))
-        where = F.lit(path) if isinstance(path, str) else path
-        broken = values[name].isNull() & (F.lit(True) if needed else ~absent(source))
-        reason = F.when(
-            F.coalesce(kind(source) == "BOOLEAN", F.lit(False)),
-            F.concat(F.lit("'"), where, F.lit("' cannot be a Boolean value.")),
-        ).otherwise(F.concat(F.lit("'"), where, F.lit(f"' could not be converted to {wanted}: "), F.to_json(source), F.lit(".")))
-        errors.append(F.when(broken, reason))
+    casts = {n: strict_int if n in _WHOLE_HOURS else strict_float for n in HOURLY_FIELDS[1:]}
+    typed = hours.withColumns(
+        {n: F.when(~absent(one[n]), cast(one[n])) for n, cast in casts.items()}
+        | {"forecast_timestamp_local": _spelled_out(_stamp_text(one["time"])).try_cast("timestamp_ntz")}
+    )
 
     def position(name: str) -> Column:
-        return F.format_string(f"payload.hourly.{name}[%d]", F.col("_hour"))
+        return F.format_string(f"payload.hourly.{name}[%d]", F.col("forecast_hour_index"))
 
-    for name in ("pipeline_run_id", "source_system", "endpoint_name", "location_id", "location_name"):
-        values[name] = text(at(record, name))
-    ingested = _stamp_text(at(record, "ingestion_timestamp_utc"))
-    values["ingestion_timestamp_utc"] = F.timestamp_micros(iso_timestamp(ingested)["at_us"])
-    forecast = _stamp_text(one["time"])
-    values["forecast_timestamp_local"] = _spelled_out(forecast).try_cast("timestamp_ntz")
-    values["forecast_hour_index"] = F.col("_hour")
-    for name, where in (
-        ("ingestion_timestamp_utc", F.lit("ingestion_timestamp_utc")),
-        ("forecast_timestamp_local", position("time")),
-    ):
-        reason = F.concat(F.lit("'"), where, F.lit("' contains an invalid ISO-8601 timestamp."))
-        errors.append(F.when(values[name].isNull(), reason))
-    for name in HOURLY_FIELDS[1:]:
-        whole = name in ("relative_humidity_2m", "weather_code")
-        cast, wanted = (strict_int, "integer") if whole else (strict_float, "float")
-        optional(name, one[name], cast, position(name), wanted)
-    for name in ("latitude", "longitude", "elevation"):
-        optional(name, at(record, f"payload.{name}"), strict_float, f"payload.{name}", "float")
-    values["timezone"] = text(at(record, "payload.timezone"))
-    values["timezone_abbreviation"] = text(at(record, "payload.timezone_abbreviation"))
-    optional(
-        "utc_offset_seconds", at(record, "payload.utc_offset_seconds"), strict_int,
-        "payload.utc_offset_seconds", "integer", needed=True,
-    )
-    for name, source in UNITS.items():
-        values[name] = text(at(record, f"payload.hourly_units.{source}"))
-    for name, path in (
-        ("forecast_days", "request_parameters.forecast_days"),
-        ("attempt_count", "attempt_count"),
-        ("http_status_code", "http_status_code"),
-    ):
-        optional(name, at(record, path), strict_int, path, "integer", needed=True)
-    return hours.select(
-        *[value.alias(name) for name, value in values.items()],
-        RECORD_FILE,
-        F.array_compact(F.array(*errors)).alias("_errors"),
+    faults = [
+        _fault(one[n], F.col(n), position(n), "integer" if n in _WHOLE_HOURS else "float", False)
+        for n in HOURLY_FIELDS[1:]
+    ]
+    faults.append(_stamp_fault(F.col("forecast_timestamp_local"), position("time")))
+    return typed.select(
+        *COLUMNS, RECORD_FILE, F.concat("_faults", F.array_compact(F.array(*faults))).alias("_errors")
     )
 
 
@@ -248,19 +285,17 @@ def flatten(records: DataFrame, mode: str = "strict") -> Flattened:
         raise WeatherError("mode must be 'strict' or 'quarantine'")
     if records.isEmpty():
         raise WeatherError("At least one Bronze record is required.")
-    checked = contract(records)
+    checked = _checked(records)
     hours = hourly_rows(checked)
-    structural = checked.where("violation IS NOT NULL").select(
-        RECORD_FILE, F.col("violation").alias("reason")
-    )
+    broken = F.array_compact(F.array("violation"))
+    structural = checked.select(RECORD_FILE, F.explode(broken).alias("reason"))
     casts = hours.select(RECORD_FILE, F.explode("_errors").alias("reason")).distinct()
     rejected = structural.unionByName(casts)
-    columns = [c for c in hours.columns if c not in (RECORD_FILE, "_errors")]
     if mode == "strict":
         shown = rejected.limit(5).collect()
         if shown:
             reasons = "; ".join(f"{r[RECORD_FILE]}: {r['reason']}" for r in shown)
             raise WeatherError(f"{rejected.count()} problems in Bronze records, among them: {reasons}")
-        return Flattened(hours.select(*columns), rejected)
+        return Flattened(hours.select(*COLUMNS), rejected)
     bad = rejected.select(RECORD_FILE).distinct()
-    return Flattened(hours.join(bad, RECORD_FILE, "left_anti").select(*columns), rejected)
+    return Flattened(hours.join(bad, RECORD_FILE, "left_anti").select(*COLUMNS), rejected)
