@@ -9,7 +9,6 @@ from touchstone.functions.values import (
     one_of,
     present,
     quoted,
-    with_timestamps,
     within_tolerance,
 )
 
@@ -24,6 +23,5 @@ __all__ = [
     "one_of",
     "present",
     "quoted",
-    "with_timestamps",
     "within_tolerance",
 ]

@@ -6,9 +6,9 @@ Spark's own functions, so rules that use them stay inside one projection.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_US = 86_400_000_000
@@ -19,6 +19,7 @@ UNBOUNDED_US = 9_223_372_036_854_775_807
 TOLERANCE = "0.000001"
 
 _PLAIN_STAMP = r"^(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"
+_OFFSET_STAMP = r"^(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:Z|[+-]\d{2}:\d{2})$"
 _STAMP = (
     r"(?s)^(?!0000)(?:\d{4}-\d{2}-\d{2}|\d{8})"
     r"(?:.(?:\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
@@ -86,17 +87,26 @@ def iso_timestamp(value: Column) -> Column:
     UTC by the written offset, ``aware`` tells whether an offset was written.
     Plain integers keep the result free of the session time zone and cheap to
     sort and compare.
+
+    The usual spellings are read by small compiled branches.  The rare ones sit
+    behind a one-element ``transform``, which keeps them out of the generated
+    method: it would otherwise grow too large to be compiled to machine code.
     """
-    return _moment(_spelled_out(value))
 
+    def micros(text: Column) -> Column:
+        return F.unix_micros(text.try_cast("timestamp"))
+
+    def moment(wall: Column, at: Column, aware: bool) -> Column:
+        fields = F.struct(wall.alias("wall_us"), at.alias("at_us"), F.lit(aware).alias("aware"))
+        return F.when(at.isNotNull(), fields)
 
-def with_timestamps(rows: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Add ``iso_timestamp`` columns in two projections, so no text is parsed twice."""
-    texts = {f"_text{name}": _spelled_out(value) for name, value in columns.items()}
+    plain = micros(F.concat(value, F.lit("Z")))
+    local = micros(F.concat(F.substring(value, 1, 19), F.lit("Z")))
+    other = F.transform(F.array(_spelled_out(value)), _moment)[0]
     return (
-        rows.withColumns(texts)
-        .withColumns({name: _moment(F.col(f"_text{name}")) for name in columns})
-        .drop(*texts)
+        F.when(value.rlike(_PLAIN_STAMP), moment(plain, plain, False))
+        .when(value.rlike(_OFFSET_STAMP), moment(local, micros(value), True))
+        .when(value.rlike(_STAMP), other)
     )
 
 
