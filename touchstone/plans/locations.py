@@ -1,4 +1,4 @@
-"""Checks of the reference-location table."""
+"""Checks of the location table."""
 
 from __future__ import annotations
 
