@@ -47,14 +47,22 @@ def misaligned(sizes: Mapping[str, Column], expected: Column) -> Column:
     return F.map_filter(F.create_map(*pairs), lambda _, size: size != expected)
 
 
+def absent_kind(name: Column) -> Column:
+    """``absent`` told from the type name."""
+    return name.isNull() | (name == "VOID")
+
+
 def text(value: Column) -> Column:
     written = F.try_variant_get(value, "$", "string")
     return F.when(kind(value) == "BOOLEAN", F.initcap(written)).otherwise(written)
 
 
-def strict_int(value: Column) -> Column:
-    """Whole number: numbers are cut towards zero, text must be an integer, no booleans."""
-    name = kind(value)
+def strict_int(value: Column, name: Column | None = None) -> Column:
+    """Whole number: numbers are cut towards zero, text must be an integer, no booleans.
+
+    ``name`` is the type name where the caller has it in a column already.
+    """
+    name = kind(value) if name is None else name
     written = F.try_variant_get(value, "$", "string")
     whole = (
         F.when(name == "BIGINT", F.try_variant_get(value, "$", "bigint"))
@@ -65,9 +73,9 @@ def strict_int(value: Column) -> Column:
     return whole.try_cast("int")
 
 
-def strict_float(value: Column) -> Column:
+def strict_float(value: Column, name: Column | None = None) -> Column:
     """Double: numbers and numeric text, no booleans."""
-    name = kind(value)
+    name = kind(value) if name is None else name
     written = F.try_variant_get(value, "$", "string")
     return F.when(
         (name == "BIGINT") | name.startswith("DECIMAL") | name.isin("DOUBLE", "FLOAT"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from touchstone.functions.values import _spelled_out, iso_timestamp
 from touchstone.functions.variants import (
     absent,
+    absent_kind,
     array_of,
     at,
     is_object,
@@ -21,6 +22,7 @@ from touchstone.functions.variants import (
     strict_int,
     text,
 )
+from touchstone.session import materialize
 from touchstone.sources.weather_json import RECORD_FILE
 
 # The fields of the contract.
@@ -178,12 +180,13 @@ def _stamp_text(value: Column) -> Column:
     return F.when(kind(value) == "STRING", F.trim(F.try_variant_get(value, "$", "string")))
 
 
-def _fault(source: Column, value: Column, path: Column, wanted: str, needed: bool) -> Column:
-    """Why a value could not be converted; null when it could."""
-    broken = value.isNull() if needed else value.isNull() & ~absent(source)
+def _fault(
+    source: Column, name: Column, value: Column, path: Column, wanted: str, needed: bool
+) -> Column:
+    """Why a value of type ``name`` could not be converted; null when it could."""
+    broken = value.isNull() if needed else value.isNull() & ~absent_kind(name)
     reason = F.when(
-        F.coalesce(kind(source) == "BOOLEAN", F.lit(False)),
-        F.concat(F.lit("'"), path, F.lit("' cannot be a Boolean value.")),
+        name.eqNullSafe("BOOLEAN"), F.concat(F.lit("'"), path, F.lit("' cannot be a Boolean value."))
     ).otherwise(
         F.concat(F.lit("'"), path, F.lit(f"' could not be converted to {wanted}: "), F.to_json(source), F.lit("."))
     )
@@ -225,54 +228,60 @@ COLUMNS = (
 )
 
 
+def _typed(rows: DataFrame, sources: dict[str, Column], whole: Sequence[str]) -> DataFrame:
+    """Convert VARIANT values; ``_v_`` keeps the value and ``_k_`` its type name, read once."""
+    rows = rows.withColumns({f"_v_{n}": source for n, source in sources.items()})
+    rows = rows.withColumns({f"_k_{n}": kind(F.col(f"_v_{n}")) for n in sources})
+    return rows.withColumns(
+        {
+            n: (strict_int if n in whole else strict_float)(F.col(f"_v_{n}"), F.col(f"_k_{n}"))
+            for n in sources
+        }
+    )
+
+
 def hourly_rows(checked: DataFrame) -> DataFrame:
-    """One row per forecast hour of the sound records, with ``_errors``.
+    """One row per forecast hour with ``_errors``; a record with a violation gives one row.
 
     Record values are converted once per record, before the hours are unnested,
-    and the nested record itself is left behind there.  Unnesting nothing for a
-    record with a violation keeps it out without judging it again in a filter.
+    and the nested record itself is left behind there.
     """
     record = F.col("record")
-    numbers = {name: at(record, path) for name, path, _, _ in _RECORD_NUMBERS}
+    whole = [name for name, _, is_whole, _ in _RECORD_NUMBERS if is_whole]
+    rows = _typed(checked, {name: at(record, path) for name, path, _, _ in _RECORD_NUMBERS}, whole)
     ingested = _stamp_text(at(record, "ingestion_timestamp_utc"))
-    rows = checked.withColumns({f"_n_{name}": source for name, source in numbers.items()})
     rows = rows.withColumns(
         {name: text(at(record, path)) for name, path in _RECORD_TEXTS.items()}
-        | {
-            name: F.when(~absent(F.col(f"_n_{name}")), (strict_int if whole else strict_float)(F.col(f"_n_{name}")))
-            for name, _, whole, _ in _RECORD_NUMBERS
-        }
         | {"ingestion_timestamp_utc": F.timestamp_micros(iso_timestamp(ingested)["at_us"])}
     )
-    faults = [
-        _fault(F.col(f"_n_{name}"), F.col(name), F.lit(path), "integer" if whole else "float", needed)
-        for name, path, whole, needed in _RECORD_NUMBERS
-    ]
+
+    def fault(name: str, path: Column, is_whole: bool, needed: bool) -> Column:
+        wanted = "integer" if is_whole else "float"
+        return _fault(F.col(f"_v_{name}"), F.col(f"_k_{name}"), F.col(name), path, wanted, needed)
+
+    faults = [fault(name, F.lit(path), is_whole, needed) for name, path, is_whole, needed in _RECORD_NUMBERS]
     faults.append(_stamp_fault(F.col("ingestion_timestamp_utc"), F.lit("ingestion_timestamp_utc")))
-    levels = [*_RECORD_TEXTS, *numbers, "ingestion_timestamp_utc"]
+    levels = [*_RECORD_TEXTS, *[n[0] for n in _RECORD_NUMBERS], "ingestion_timestamp_utc"]
     zipped = F.arrays_zip(*[F.col(f"_a_{n}").alias(n) for n in HOURLY_FIELDS])
+    # Nothing is unnested for a record with a violation, so no filter judges it again.
     hours = rows.withColumn("_faults", F.array_compact(F.array(*faults))).select(
-        RECORD_FILE, *levels, "_faults",
-        F.posexplode(F.when(F.col("violation").isNull(), zipped)).alias("forecast_hour_index", "_at"),
+        RECORD_FILE, "violation", *levels, "_faults",
+        F.posexplode_outer(F.when(F.col("violation").isNull(), zipped)).alias("forecast_hour_index", "_at"),
     )
-    one = {n: F.col(f"_at.{n}") for n in HOURLY_FIELDS}
-    casts = {n: strict_int if n in _WHOLE_HOURS else strict_float for n in HOURLY_FIELDS[1:]}
-    typed = hours.withColumns(
-        {n: F.when(~absent(one[n]), cast(one[n])) for n, cast in casts.items()}
-        | {"forecast_timestamp_local": _spelled_out(_stamp_text(one["time"])).try_cast("timestamp_ntz")}
+    typed = _typed(hours, {n: F.col(f"_at.{n}") for n in HOURLY_FIELDS[1:]}, _WHOLE_HOURS).withColumn(
+        "forecast_timestamp_local",
+        _spelled_out(_stamp_text(F.col("_at.time"))).try_cast("timestamp_ntz"),
     )
 
     def position(name: str) -> Column:
         return F.format_string(f"payload.hourly.{name}[%d]", F.col("forecast_hour_index"))
 
-    faults = [
-        _fault(one[n], F.col(n), position(n), "integer" if n in _WHOLE_HOURS else "float", False)
-        for n in HOURLY_FIELDS[1:]
-    ]
+    faults = [fault(n, position(n), n in _WHOLE_HOURS, False) for n in HOURLY_FIELDS[1:]]
     faults.append(_stamp_fault(F.col("forecast_timestamp_local"), position("time")))
-    return typed.select(
-        *COLUMNS, RECORD_FILE, F.concat("_faults", F.array_compact(F.array(*faults))).alias("_errors")
+    errors = F.when(F.col("violation").isNotNull(), F.array("violation")).otherwise(
+        F.concat("_faults", F.array_compact(F.array(*faults)))
     )
+    return typed.select(*COLUMNS, RECORD_FILE, errors.alias("_errors"))
 
 
 def flatten(records: DataFrame, mode: str = "strict") -> Flattened:
@@ -285,12 +294,9 @@ def flatten(records: DataFrame, mode: str = "strict") -> Flattened:
         raise WeatherError("mode must be 'strict' or 'quarantine'")
     if records.isEmpty():
         raise WeatherError("At least one Bronze record is required.")
-    checked = _checked(records)
-    hours = hourly_rows(checked)
-    broken = F.array_compact(F.array("violation"))
-    structural = checked.select(RECORD_FILE, F.explode(broken).alias("reason"))
-    casts = hours.select(RECORD_FILE, F.explode("_errors").alias("reason")).distinct()
-    rejected = structural.unionByName(casts)
+    # Parsed once; the probe, the rows and the reasons all read this.
+    hours = materialize(hourly_rows(_checked(records)))
+    rejected = hours.select(RECORD_FILE, F.explode("_errors").alias("reason")).distinct()
     if mode == "strict":
         shown = rejected.limit(5).collect()
         if shown:
@@ -298,4 +304,5 @@ def flatten(records: DataFrame, mode: str = "strict") -> Flattened:
             raise WeatherError(f"{rejected.count()} problems in Bronze records, among them: {reasons}")
         return Flattened(hours.select(*COLUMNS), rejected)
     bad = rejected.select(RECORD_FILE).distinct()
-    return Flattened(hours.join(bad, RECORD_FILE, "left_anti").select(*COLUMNS), rejected)
+    kept = hours.join(bad, RECORD_FILE, "left_anti")
+    return Flattened(kept.select(*COLUMNS), rejected)
