@@ -94,6 +94,30 @@ def _last(table: str, key: str, columns: str) -> str:
     return f"(SELECT {key}, {columns} FROM {table} QUALIFY ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY _row_index DESC) = 1)"
 
 
+def _parsed_schedules(name: str) -> str:
+    start, end = "scheduled_start_timestamp", "scheduled_end_timestamp"
+    return f"""{name} AS (SELECT *, {_stamp(start)} AS s, {_stamp(end)} AS e, {_aware(start)} AS sa, {_aware(end)} AS ea,
+        TRY_CAST(planned_crew_hours AS DECIMAL(20,9)) AS h, TRY_CAST(planned_crew_size AS DECIMAL(10,0)) AS n,
+        TRY_CAST(planned_labor_hours AS DECIMAL(20,9)) AS l FROM field_schedules)"""
+
+
+def _cycles() -> str:
+    return f"""step AS (SELECT field_schedule_id AS n, rescheduled_from_schedule_id AS p FROM
+            {_last('field_schedules', 'field_schedule_id', 'rescheduled_from_schedule_id')} WHERE field_schedule_id <> ''),
+        image AS (SELECT DISTINCT p AS n FROM step),
+        walk(n, p) AS (SELECT step.n, step.p FROM step JOIN image USING (n)
+            UNION SELECT walk.n, step.p FROM walk JOIN step ON step.n = walk.p),
+        cycle AS (SELECT DISTINCT n FROM walk WHERE n = p)"""
+
+
+def _valid_assignments() -> str:
+    start, end = "assignment_start_timestamp", "assignment_end_timestamp"
+    return f"""assignments AS (SELECT *, {_stamp(start)} AS s, {_stamp(end)} AS e0, {_aware(start)} AS sa, {_aware(end)} AS ea,
+        {_missing(end)} AS open FROM equipment_assignments),
+        valid AS (SELECT _row_index, equipment_id, sa, s, open, CASE WHEN open THEN TIMESTAMP '9999-12-31 23:59:59' ELSE e0 END AS e
+        FROM assignments WHERE s IS NOT NULL AND (open OR COALESCE(e0 > s AND sa = ea, FALSE)))"""
+
+
 def _schedules() -> str:
     f = _Findings("field_schedules")
     f.unique("field_schedule_id")
@@ -104,10 +128,7 @@ def _schedules() -> str:
     for field, target in (("project_id", "projects"), ("job_site_id", "job_sites"), ("crew_id", "crews"), ("activity_id", "activities")):
         f.link(field, target, _KEYS[target])
     f.link("rescheduled_from_schedule_id", "field_schedules", "field_schedule_id", nullable=True)
-    start, end = "scheduled_start_timestamp", "scheduled_end_timestamp"
-    parsed = f"""parsed AS (SELECT *, {_stamp(start)} AS s, {_stamp(end)} AS e, {_aware(start)} AS sa, {_aware(end)} AS ea,
-        TRY_CAST(planned_crew_hours AS DECIMAL(20,9)) AS h, TRY_CAST(planned_crew_size AS DECIMAL(10,0)) AS n,
-        TRY_CAST(planned_labor_hours AS DECIMAL(20,9)) AS l FROM field_schedules)"""
+    parsed = _parsed_schedules("parsed")
     src = "parsed t"
     valid = "COALESCE(s < e AND sa = ea, FALSE)"
     f.when(f"NOT {valid}", "FSD-001", "'schedule timestamps are malformed or end is not greater than start'", source=src)
@@ -153,12 +174,7 @@ def _schedules() -> str:
         "TRUE", "FSD-006", "'Completed schedule is referenced as a reschedule predecessor'",
         source="field_schedules t JOIN touched c ON c.r = t._row_index", times="c.c",
     )
-    walk = f"""step AS (SELECT field_schedule_id AS n, rescheduled_from_schedule_id AS p FROM
-            {_last('field_schedules', 'field_schedule_id', 'rescheduled_from_schedule_id')} WHERE field_schedule_id <> ''),
-        image AS (SELECT DISTINCT p AS n FROM step),
-        walk(n, p) AS (SELECT step.n, step.p FROM step JOIN image USING (n)
-            UNION SELECT walk.n, step.p FROM walk JOIN step ON step.n = walk.p),
-        cycle AS (SELECT DISTINCT n FROM walk WHERE n = p)"""
+    walk = _cycles()
     f.when(
         f"{own} IN (SELECT n FROM cycle) AND {before} IS DISTINCT FROM {own}", "FSD-009 XEN-004",
         "'reschedule predecessor traversal contains a cycle'",
@@ -172,11 +188,7 @@ def _assignments() -> str:
     f.critical("assignment_id equipment_id job_site_id project_id assignment_start_timestamp")
     for field, target in (("equipment_id", "equipment"), ("job_site_id", "job_sites"), ("project_id", "projects")):
         f.link(field, target, _KEYS[target])
-    start, end = "assignment_start_timestamp", "assignment_end_timestamp"
-    parsed = f"""parsed AS (SELECT *, {_stamp(start)} AS s, {_stamp(end)} AS e0, {_aware(start)} AS sa, {_aware(end)} AS ea,
-        {_missing(end)} AS open FROM equipment_assignments),
-        valid AS (SELECT _row_index, equipment_id, sa, s, CASE WHEN open THEN TIMESTAMP '9999-12-31 23:59:59' ELSE e0 END AS e
-        FROM parsed WHERE s IS NOT NULL AND (open OR COALESCE(e0 > s AND sa = ea, FALSE)))"""
+    parsed = _valid_assignments()
     f.when(
         "t._row_index NOT IN (SELECT _row_index FROM valid)", "EQA-001",
         "'assignment timestamps are malformed or end is not greater than start'",
@@ -293,3 +305,111 @@ def operations_oracles() -> dict[str, str]:
         "equipment_assignments": _assignments(),
         "safety_thresholds": _thresholds(),
     }
+
+
+_CODES = {
+    "regions": "region_code", "offices": "office_code", "employees": "employee_number",
+    "projects": "project_code", "job_sites": "job_site_code", "crews": "crew_code",
+    "activities": "activity_code", "equipment_types": "equipment_type_code", "equipment": "equipment_code",
+}
+_LINKS = """offices region_id regions region_id
+employees home_office_id offices office_id
+projects office_id offices office_id
+projects project_manager_employee_id employees employee_id
+projects field_manager_employee_id employees employee_id
+job_sites project_id projects project_id
+crews home_office_id offices office_id
+crews crew_lead_employee_id employees employee_id nullable
+field_schedules project_id projects project_id
+field_schedules job_site_id job_sites job_site_id
+field_schedules crew_id crews crew_id
+field_schedules activity_id activities activity_id
+field_schedules rescheduled_from_schedule_id field_schedules field_schedule_id nullable
+equipment equipment_type_id equipment_types equipment_type_id
+equipment_assignments equipment_id equipment equipment_id
+equipment_assignments job_site_id job_sites job_site_id
+equipment_assignments project_id projects project_id
+safety_thresholds activity_id activities activity_id
+safety_thresholds equipment_type_id equipment_types equipment_type_id nullable"""
+_SCENARIOS = (
+    "normal_operations", "moderate_weather", "high_wind_equipment", "extreme_heat", "heavy_precipitation",
+    "lightning_override", "crew_reschedule", "equipment_relocation", "multiple_project_conflict",
+)
+
+
+def gate_oracle() -> str:
+    """Every gate reason with the number of rows behind it."""
+    parts: list[str] = []
+
+    def reject(entity: str, reason: str, condition: str, source: str | None = None) -> None:
+        parts.append(
+            f"SELECT '{entity}' AS entity, '{reason}' AS reason, COUNT(*) AS failures "
+            f"FROM {source or entity + ' t'} WHERE {condition} HAVING COUNT(*) > 0"
+        )
+
+    for entity, key in _KEYS.items():
+        for column in [key, *([_CODES[entity]] if entity in _CODES else [])]:
+            reject(entity, f"{entity}.{column} is required", _missing(f"t.{column}"))
+            repeated = f"SELECT {column} FROM {entity} WHERE {column} <> '' GROUP BY {column} HAVING COUNT(*) > 1"
+            reject(entity, f"duplicate {entity}.{column}", f"t.{column} IN ({repeated})")
+    for line in _LINKS.splitlines():
+        entity, field, target, key, *nullable = line.split()
+        condition = f"NOT EXISTS (SELECT 1 FROM {target} p WHERE p.{key} IS NOT DISTINCT FROM t.{field})"
+        if nullable:
+            condition += f" AND NOT {_missing('t.' + field)}"
+        reject(entity, f"{entity}.{field} does not resolve to {target}.{key}", condition)
+    reject("projects", "invalid project status", "COALESCE(t.status NOT IN ('Planned', 'Active', 'Closed', 'Cancelled'), TRUE)")
+    reject("projects", "invalid project dates", "NOT COALESCE(CAST(t.project_end_date AS DATE) >= CAST(t.project_start_date AS DATE), FALSE)")
+    reject("job_sites", "invalid weather location", "COALESCE(t.weather_location_code NOT IN ('TX-DAL', 'TX-HOU', 'TX-AUS'), TRUE)")
+    reject(
+        "crews", "crew lead must be active", f"{_missing('t.crew_lead_employee_id')} OR e.employment_status IS DISTINCT FROM 'Active'",
+        f"crews t LEFT JOIN {_last('employees', 'employee_id', 'employment_status')} e ON e.employee_id = t.crew_lead_employee_id",
+    )
+    s, before, own = "field_schedules", "t.rescheduled_from_schedule_id", "t.field_schedule_id"
+    site = f"JOIN {_last('job_sites', 'job_site_id', 'project_id')} p ON p.job_site_id = t.job_site_id"
+    window = f"s < e AND sa = ea AND CAST(s AS DATE) = {_day('scheduled_date')}"
+    reject(s, "invalid schedule timestamps/date", f"NOT COALESCE({window}, FALSE)", "schedules t")
+    reject(s, "crew hours differ from duration", "NOT COALESCE(h * 3600 = CAST(epoch(e) - epoch(s) AS DECIMAL(20,3)), FALSE)", "schedules t")
+    reject(s, "invalid planned labor hours", "NOT COALESCE(ABS(l - h * n) <= 0.000001, FALSE)", "schedules t")
+    reject(s, "schedule project/site mismatch", "p.project_id IS DISTINCT FROM t.project_id", f"field_schedules t {site}")
+    reject(
+        s, "invalid schedule status",
+        "t.status NOT IN ('Scheduled', 'In Progress', 'Completed', 'Delayed', 'Cancelled', 'Rescheduled')",
+    )
+    reject(s, "invalid reschedule predecessor", f"NOT {_missing(before)} AND {before} = {own}")
+    reject(
+        s, "predecessor must be Rescheduled", f"NOT {_missing(before)} AND p.status IS DISTINCT FROM 'Rescheduled'",
+        f"field_schedules t JOIN {_last(s, 'field_schedule_id', 'status')} p ON p.field_schedule_id = {before}",
+    )
+    reject(s, "cyclic reschedule lineage", f"{own} IN (SELECT n FROM cycle)")
+    reject(
+        s, "rescheduled row lacks successor",
+        f"t.status = 'Rescheduled' AND NOT EXISTS (SELECT 1 FROM {s} n WHERE n.rescheduled_from_schedule_id = {own} AND {own} <> '')",
+    )
+    a = "equipment_assignments"
+    reject(a, "invalid assignment window", "t._row_index NOT IN (SELECT _row_index FROM valid WHERE NOT open)")
+    reject(a, "assignment project/site mismatch", "p.project_id IS DISTINCT FROM t.project_id", f"{a} t {site}")
+    other = "y.equipment_id IS NOT DISTINCT FROM x.equipment_id AND y.sa = x.sa AND y._row_index <> x._row_index"
+    reject(
+        a, "overlapping equipment assignment",
+        f"t._row_index IN (SELECT x._row_index FROM valid x JOIN valid y ON {other} AND x.s < y.e AND y.s < x.e)",
+    )
+    t = "safety_thresholds"
+    code, value, codes = "COALESCE(t.metric_code = 'WEATHER_CODE', FALSE)", _missing("t.threshold_value"), _missing("t.weather_code_set")
+    reject(t, "threshold action required", _missing("t.recommended_action_code"))
+    reject(t, "critical threshold must override", "t.severity = 'CRITICAL' AND t.override_flag IS DISTINCT FROM 'True'")
+    reject(t, "incompatible threshold structure", f"NOT (({code} AND NOT {codes} AND {value}) OR (NOT {code} AND NOT {value} AND {codes}))")
+    reject(
+        t, "overlapping/ambiguous active threshold", "c > 1",
+        f"(SELECT COUNT(*) OVER (PARTITION BY activity_id, metric_code, severity, equipment_type_id) AS c FROM {t}) t",
+    )
+    for entity, reason, wanted in (
+        (s, "missing scenario coverage", _SCENARIOS),
+        (a, "missing relocation scenario", ("equipment_relocation",)),
+    ):
+        for name in wanted:
+            parts.append(
+                f"SELECT '{entity}', '{reason}: {name}', 1 WHERE NOT EXISTS (SELECT 1 FROM {entity} WHERE scenario_id = '{name}')"
+            )
+    ctes = ",\n".join((operations_ctes(), _parsed_schedules("schedules"), _cycles(), _valid_assignments()))
+    return f"WITH RECURSIVE {ctes}\n" + "\nUNION ALL\n".join(parts)

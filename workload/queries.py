@@ -35,7 +35,7 @@ from touchstone.plans.locations import location_violations
 from touchstone.plans.monitoring import complete_runs, run_status, severity_rollup, status_rollup
 from touchstone.plans.operations import OPERATIONS
 from touchstone.plans.weather import HOURLY_FIELDS, flatten, response_contract
-from workload.operations_oracle import operations_oracles
+from workload.operations_oracle import gate_oracle, operations_oracles
 from workload.retail import RETAIL, TABLES_SQL, retail_tables
 from workload.views import TABLES, load, operations_tables
 
@@ -783,6 +783,6 @@ for _entity, _sql in operations_oracles().items():
     query(f"operations_{_entity}", _sql)(_operations_query(_entity))
 
 
-@query("dataset_gate")
+@query("dataset_gate", gate_oracle())
 def dataset_gate(spark, folder):
     return accepted_dataset(operations_tables(spark, folder))
