@@ -79,6 +79,9 @@ def test_land_checks_and_overwrite(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("region_id,region_code,region_name\n")
     with pytest.raises(LandingError, match="no data rows"):
         go("regions", str(tmp_path / "empty.csv"))
+    (tmp_path / "latin.csv").write_bytes("region_id,region_code,region_name\n1,R,Café\n".encode("latin-1"))
+    with pytest.raises(LandingError, match="UTF-8"):
+        go("regions", str(tmp_path / "latin.csv"))
     with pytest.raises(LandingError, match="does not exist"):
         go("regions", str(tmp_path / "none.csv"))
     with pytest.raises(ValueError, match="Unknown entity"):

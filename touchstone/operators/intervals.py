@@ -125,6 +125,7 @@ def conflict_pairs(
     ``back_to_back``).  Only intervals that share a time cell meet in the join:
     the later one sits in the cell of its start, the earlier one in every cell
     it spans, so each pair is found once and distant intervals never meet.
+    Intervals must have an end; choose ``cell`` near their usual length.
     """
     names = [*keys, start, end, group, row]
     early = rows.select(*[F.col(c).alias(f"e_{c}") for c in names]).withColumn(
