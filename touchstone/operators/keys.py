@@ -66,13 +66,14 @@ def lookup(
     """Attach parent attributes and a found flag; the last parent row per key wins.
 
     ``attributes`` maps new column names to parent columns, ``order`` names the
-    column that says which of several parents with one key is last.  A null
-    field resolves exactly when a parent has a null key.
+    column that says which of several parents with one key is last (without it
+    the largest attributes win).  A null field resolves exactly when a parent
+    has a null key.
     """
     key = F.col(parent_key).alias("_parent_key")
     if attributes:
         carried = F.struct(*[F.col(src).alias(name) for name, src in attributes.items()])
-        picked = F.max_by(carried, F.col(order)) if order else F.first(carried)
+        picked = F.max_by(carried, F.col(order)) if order else F.max(carried)
         known = parents.groupBy(key).agg(picked.alias("_carried"))
     else:
         known = parents.select(key).distinct().withColumn("_carried", F.lit(None))
