@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchstone.llm.common import shared_folder
+from touchstone.llm.common import fresh_name, shared_folder
 from touchstone.llm.decontaminate import decontaminate
 from touchstone.llm.jaccard_join import keep_one
 from touchstone.llm.line_dedup import dedup_lines
@@ -20,12 +20,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity_scores(docs, labels, score_col="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    score = fresh_name(docs.columns, "toxicity")
+    return toxicity_scores(docs, labels, score_col=score).where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many of them share."""
-    return dedup_lines(docs, counts=("_n_lines", "_n_dropped")).select(*docs.columns)
+    counts = [fresh_name(docs.columns, c) for c in ("n_lines", "n_dropped")]
+    return dedup_lines(docs, counts=counts).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, with ``copies``: how often each is taken."""
-    return mix(docs)
+    return mix(docs, copies_col=fresh_name(docs.columns, "copies"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -26,7 +26,7 @@ def rows_of(frame):
 def vectors(n, width=8, seed=3):
     rng = np.random.default_rng(seed)
     rows = [(i, [float(x) for x in rng.normal(0, 0.3, width)], 1) for i in range(n)]
-    same = rows[7][1]
+    same = rows[min(7, n - 1)][1]
     return [(i, same if i % 3 == 0 else v, label) for i, v, label in rows]
 
 

@@ -38,6 +38,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def fresh_name(columns: list[str], base: str) -> str:
+    """A column name like ``base`` that is not among ``columns`` (in any case)."""
+    taken, name = {c.lower() for c in columns}, base
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of one piece hold about ``limit`` bytes, one row at least."""
     for batch in batches:

@@ -214,17 +214,19 @@ def decontaminate(
     """
     if action not in ("documents", "spans"):
         raise ValueError(f"unknown action {action!r}")
-    found = match_benchmark(docs, benchmark, text_col=text_col, **options)
+    # Numbered names keep columns of any name apart from the ones that are added.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    schema, text_at = numbered.schema, f"c{docs.columns.index(text_col)}"
+    found = match_benchmark(numbered, benchmark, text_col=text_at, **options)
     if action == "documents":
-        return found.where(F.size("_spans") == 0).select(*docs.columns)
-    schema = docs.schema
+        return found.where(F.size("_spans") == 0).select(*numbered.columns).toDF(*docs.columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col):
-            texts = batch.column(text_col).to_pylist()
+        for batch in slices(batches, text_at):
+            texts = batch.column(text_at).to_pylist()
             spans = batch.column("_spans").to_pylist()
             clean = [cut_words(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
-            columns = [pa.array(clean, pa.string()) if c == text_col else batch.column(c) for c in schema.names]
+            columns = [pa.array(clean, pa.string()) if c == text_at else batch.column(c) for c in schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return found.mapInArrow(cut, schema)
+    return found.mapInArrow(cut, schema).toDF(*docs.columns)

@@ -2,22 +2,23 @@
 
 Every source has a target; the ratio of target to size splits into whole copies,
 which every document gets, and a fraction, which is an inclusion probability.
-The flight phase moves the probabilities of three documents at a time along the
-direction that leaves their document total and their token total unchanged,
-until one of them reaches 0 or 1.  Sources are cut into buckets of a bounded
+The flight phase moves the probabilities along directions that leave the document
+total and the token total unchanged, until one of them reaches 0 or 1: a document
+moves, and the others of its bucket make up for it together.  Large documents go
+first, while many are left to make up for them.  Sources are cut into buckets of a bounded
 number of documents; the at most two documents a bucket leaves open go on to the
-next level, where far fewer buckets are left, and the last two of a source are
-landed on the pair of decisions that misses the token total least.  So each
-source misses its target by about one small document, whatever its size.
+next level, where far fewer buckets are left, and the last ten of a source are landed
+on the choice that misses the totals least.  So each source misses its target by
+less than a small document, whatever its size.
 """
 
 from __future__ import annotations
 
-import math
 import random
 import zlib
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from touchstone.session import materialize
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 BUCKET = 1024
+#: Open documents of a source that are landed by trying every choice.
+LANDING = 10
 _UNIT = "id {id}, source {source}, size long, rows long, hash long, prob double, whole int, picked int, last boolean"
 
 
@@ -84,68 +87,91 @@ def source_targets(units: DataFrame, weights: Sequence[float] = WEIGHTS, most_co
     return ranked.select("source", "source_size", "units", F.least("cap", F.col("weight") * level).alias("target"))
 
 
-def flight(prob: list[float], rows: list[int], size: list[int], seed: int) -> None:
-    """Move ``prob`` in place to 0 or 1, all but at most two, keeping both totals."""
+def _steps(prob: np.ndarray, move: np.ndarray) -> tuple[float, float]:
+    """How far ``prob`` can go along ``move`` and against it within [0, 1]."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        to_one, to_zero = (1 - prob) / np.abs(move), prob / np.abs(move)
+    ahead = np.where(move > 0, to_one, to_zero)[move != 0]
+    behind = np.where(move > 0, to_zero, to_one)[move != 0]
+    return float(ahead.min()), float(behind.min())
+
+
+def _direction(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A direction that keeps both totals and moves the first unit, if the others can make up for it.
+
+    The others share the counter-movement by least squares, so they move little
+    and the first unit is the one to be decided.  Failing that, the normal of the
+    first three units (or the swap of two alike) is taken.
+    """
+    totals = np.vstack([rows, size])
+    own, rest = totals[:, 0], totals[:, 1:]
+    (a, b), (_, d) = rest @ rest.T
+    det = a * d - b * b
+    if det > 1e-9 * a * d:
+        x, y = (d * own[0] - b * own[1]) / det, (a * own[1] - b * own[0]) / det
+        return np.concatenate([[1.0], -(x * rest[0] + y * rest[1])])
+    move = np.zeros(len(rows))
+    if rows[0] * size[1] == rows[1] * size[0]:
+        move[:2] = rows[1], -rows[0]
+    elif len(rows) > 2:
+        move[:3] = np.cross(totals[0, :3], totals[1, :3])
+    return move
+
+
+def flight(prob: list[float], rows: list[int], size: list[int], seed: int, leave: int = 2) -> None:
+    """Move ``prob`` in place to 0 or 1, all but at most ``leave`` (2 at least), keeping both totals.
+
+    Units are decided in the order given; each step decides at least one, up or
+    down by a fair draw.  Only a unit so large that all others together could
+    not make up for it one way goes the other way.
+    """
     rng, tiny = random.Random(seed), 1e-9
-    waiting = [i for i in reversed(range(len(prob))) if tiny < prob[i] < 1 - tiny]
-    active: list[int] = []
-    while True:
-        while waiting and len(active) < 3:
-            active.append(waiting.pop())
-        if len(active) < 2:
-            return
-        i, j = active[0], active[1]
-        if rows[i] * size[j] == rows[j] * size[i]:  # two alike: swap among them
-            move = [(i, float(rows[j])), (j, -float(rows[i]))]
-        elif len(active) == 3:
-            k = active[2]
-            # Normal to the vectors of rows and of tokens.
-            move = [
-                (i, float(rows[j] * size[k] - rows[k] * size[j])),
-                (j, float(rows[k] * size[i] - rows[i] * size[k])),
-                (k, float(rows[i] * size[j] - rows[j] * size[i])),
-            ]
-        else:
-            return
-        up = min(((1 - prob[a]) / u if u > 0 else prob[a] / -u) for a, u in move if u)
-        down = min((prob[a] / u if u > 0 else (1 - prob[a]) / -u) for a, u in move if u)
-        step = up if rng.random() * (up + down) < down else -down
-        for a, u in move:
-            p = prob[a] + step * u
-            prob[a] = 0.0 if p <= tiny else 1.0 if p >= 1 - tiny else p
-        active = [a for a in active if 0.0 < prob[a] < 1.0]
+    p = np.array(prob, float)
+    r, s = np.array(rows, float), np.array(size, float)
+    active = np.nonzero((p > tiny) & (p < 1 - tiny))[0]
+    while len(active) > max(leave, 1):
+        move = _direction(r[active], s[active])
+        if not move.any():
+            break
+        own, weight = p[active], s[active]
+        up, down = _steps(own, move)
+        rise = rng.random() * (up + down) < down
+        taken, left = own * weight, (1 - own) * weight
+        no_rise, no_fall = left[0] > taken[1:].sum(), taken[0] > left[1:].sum()
+        if no_rise != no_fall and move[0]:
+            rise = no_fall == (move[0] > 0)
+        moved = own + move * (up if rise else -down)
+        moved[moved <= tiny] = 0.0
+        moved[moved >= 1 - tiny] = 1.0
+        p[active] = moved
+        active = active[(moved > 0.0) & (moved < 1.0)]
+    prob[:] = p.tolist()
 
 
 def land(prob: list[float], rows: list[int], size: list[int]) -> None:
-    """Decide the few open units: least miss of the token total, then of the document total."""
+    """Decide the few open units: least miss of the token total, a missed document counting half its mean size."""
     open_units = [i for i, p in enumerate(prob) if 0.0 < p < 1.0]
-    tokens = sum(prob[i] * size[i] for i in open_units)
-    documents = sum(prob[i] * rows[i] for i in open_units)
-
-    def miss(choice: int) -> tuple[float, float, int]:
-        taken = [i for k, i in enumerate(open_units) if choice >> k & 1]
-        return (
-            round(abs(sum(size[i] for i in taken) - tokens), 6),
-            round(abs(sum(rows[i] for i in taken) - documents), 6),
-            choice,
-        )
-
-    best = min(range(1 << len(open_units)), key=miss)
-    for k, i in enumerate(open_units):
-        prob[i] = float(best >> k & 1)
+    p, r, s = (np.array([x[i] for i in open_units], float) for x in (prob, rows, size))
+    choices = (np.arange(1 << len(open_units))[:, None] >> np.arange(len(open_units))) & 1
+    miss = np.abs(choices @ s - p @ s) + 0.5 * (s.mean() if len(s) else 0.0) * np.abs(choices @ r - p @ r)
+    best = choices[np.argmin(np.round(miss, 6))]
+    for i, choice in zip(open_units, best.tolist(), strict=True):
+        prob[i] = float(choice)
 
 
 def _level(table: pa.Table) -> pa.Table:
     """One bucket of one source: flight, and the landing if it is the source's last."""
     columns = table.to_pydict()
-    # Large documents fly first, so that the ones left open are small.
+    # Large documents are decided first, so that the ones left open are small.
     ids = [repr(x) for x in columns["id"]]
     order = sorted(range(len(ids)), key=lambda i: (-columns["size"][i] * columns["rows"][i], columns["hash"][i], ids[i]))
     prob = [columns["prob"][i] for i in order]
     rows = [columns["rows"][i] for i in order]
     size = [columns["size"][i] * columns["rows"][i] for i in order]
-    flight(prob, rows, size, zlib.crc32(repr((columns["source"][0], len(ids), columns["hash"][order[0]])).encode()))
-    if columns["last"][0]:
+    last = columns["last"][0]
+    seed = zlib.crc32(repr((columns["source"][0], len(ids), columns["hash"][order[0]])).encode())
+    flight(prob, rows, size, seed, LANDING if last else 2)
+    if last:
         land(prob, rows, size)
     picked = [None if 0.0 < p < 1.0 else int(p) for p in prob]
     moved = table.take(pa.array(order, pa.int64()))

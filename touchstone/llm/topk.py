@@ -134,17 +134,18 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), width)
 
 
+_FOUND = pa.schema([("query", pa.int64()), ("row", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
+
+
 def _group(key: tuple, points: pa.Table, queries: pa.Table, k: int) -> pa.Table:
+    if not len(points) or not len(queries):
+        return _FOUND.empty_table()
     width = key[0].as_py()
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    query_ids = queries.column("q_id").to_numpy()
-    if len(points) and len(queries):
-        q = _matrix(queries.column("q_v"), width)
-        out = list(search(_matrix(points.column("v"), width), points.column("id").to_numpy(), q, query_ids, queries.column("floor").to_numpy().astype(np.float64), k))
-    place, score, ident = (np.concatenate([x[i] for x in out]) if out else np.empty(0, np.int64) for i in range(3))
-    return pa.table(
-        {"query": pa.array(query_ids[place], pa.int64()), "row": queries.column("row").take(pa.array(place, pa.int64())), "id": pa.array(ident, pa.int64()), "score": pa.array(score, pa.int64())}
-    )
+    ids, query_ids, rows = points.column("id").to_numpy(), queries.column("q_id").to_numpy(), queries.column("row").to_numpy()
+    floor = queries.column("floor").to_numpy().astype(np.float64)
+    parts = list(search(_matrix(points.column("v"), width), ids, _matrix(queries.column("q_v"), width), query_ids, floor, k))
+    place, score, ident = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return pa.table([query_ids[place], rows[place], ident, score], schema=_FOUND)
 
 
 def _meet(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
