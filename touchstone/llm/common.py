@@ -68,8 +68,9 @@ def connected(edges: DataFrame) -> DataFrame:
 
     ``component`` is the smallest node of the component; nodes without an edge to
     another node are not listed.  Each round hooks every group of equal labels to
-    the smallest label seen around it and follows hooks up to eight steps, so
-    the number of groups falls by a factor each round whatever the diameter.
+    the smallest label seen around it and follows hooks to their ends by pointer
+    doubling, so a component's groups at least halve each round whatever its
+    diameter.
     Tables are keyed by node or label and checkpointed every round.
     """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
@@ -91,9 +92,12 @@ def connected(edges: DataFrame) -> DataFrame:
         hooks = materialize(hooks)
         if hooks.isEmpty():
             return labels.withColumnRenamed("label", "component")
-        for _ in range(3):
+        while True:  # follow hooks to their ends, twice as far each time
             further = hooks.select(F.col("label").alias("low"), F.col("low").alias("lower"))
-            hooks = hooks.join(further, "low", "left").select("label", F.coalesce("lower", "low").alias("low"))
+            jumped = materialize(hooks.join(further, "low", "left").select("label", "low", "lower"))
+            hooks = jumped.select("label", F.coalesce("lower", "low").alias("low"))
+            if jumped.where("lower is not null").isEmpty():
+                break
         labels = materialize(
-            labels.join(materialize(hooks), "label", "left").select("node", F.coalesce("low", "label").alias("label"))
+            labels.join(hooks, "label", "left").select("node", F.coalesce("low", "label").alias("label"))
         )
