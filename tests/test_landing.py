@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchstone.plans.engine import validate
 from touchstone.plans.monitoring import (
-    AllEntitiesFailedError,
+    NothingLandedError,
     complete_runs,
     finding_evidence,
     land_monitored,
@@ -22,11 +22,12 @@ from touchstone.plans.operations import OPERATIONS
 from touchstone.sources import (
     LandingError,
     destination,
+    file_checksums,
     land,
     land_all,
     read_landed,
     scan_csv,
-    source_checksums,
+    source_checksum,
     write_accepted,
     write_findings,
     write_quarantine,
@@ -70,11 +71,11 @@ def test_land_checks_and_overwrite(spark, tmp_path):
     landed = spark.read.parquet(result.destination_path)
     assert "extra_note" in landed.columns and dict(landed.dtypes)["employee_id"] == "string"
     assert [r.employee_id for r in landed.orderBy("_row_index").collect()] == ["100", "101"]
-    with pytest.raises(LandingError, match="already exists"):
+    with pytest.raises(LandingError, match="already landed"):
         go("employees", paths["employees"])
     assert go("employees", paths["employees"], overwrite=True).row_count == 2
     (tmp_path / "short.csv").write_text("region_id,region_name\n1,x\n")
-    with pytest.raises(LandingError, match="missing required columns: region_code"):
+    with pytest.raises(LandingError, match="lacks columns: region_code"):
         go("regions", str(tmp_path / "short.csv"))
     (tmp_path / "empty.csv").write_text("region_id,region_code,region_name\n")
     with pytest.raises(LandingError, match="no data rows"):
@@ -82,11 +83,11 @@ def test_land_checks_and_overwrite(spark, tmp_path):
     (tmp_path / "latin.csv").write_bytes("region_id,region_code,region_name\n1,R,Café\n".encode("latin-1"))
     with pytest.raises(LandingError, match="UTF-8"):
         go("regions", str(tmp_path / "latin.csv"))
-    with pytest.raises(LandingError, match="does not exist"):
+    with pytest.raises(LandingError, match="no source"):
         go("regions", str(tmp_path / "none.csv"))
     with pytest.raises(ValueError, match="Unknown entity"):
         go("nothing", paths["regions"])
-    with pytest.raises(LandingError, match="missing entities: regions; unknown entities: other"):
+    with pytest.raises(LandingError, match="not so: other, regions"):
         named = {k: v for k, v in paths.items() if k != "regions"} | {"other": "x"}
         land_all(spark, OPERATIONS, named, DAY, "r", root=root)
 
@@ -115,8 +116,41 @@ def test_row_index_follows_file_order_across_splits(spark, tmp_path):
 
 def test_checksums(spark, tmp_path):
     paths = store(tmp_path / "src", clean())
-    got = {r.path.split("/")[-1]: r.checksum_sha256 for r in source_checksums(spark, paths.values()).collect()}
-    assert got == {p.split("/")[-1]: hashlib.sha256(open(p, "rb").read()).hexdigest() for p in paths.values()}
+    want = {p.split("/")[-1]: hashlib.sha256(open(p, "rb").read()).hexdigest() for p in paths.values()}
+    for block in (7, 8 << 20):  # many reads a file, and one
+        got = {r.path.split("/")[-1]: r.checksum_sha256 for r in file_checksums(spark, paths.values(), block_bytes=block).collect()}
+        assert got == want
+    assert source_checksum(spark, paths["crews"]) == want["crews.csv"]
+    several = source_checksum(spark, str(tmp_path / "src"))
+    assert several not in want.values() and several == source_checksum(spark, str(tmp_path / "src") + "/", block_bytes=5)
+    odd = tmp_path / "odd name+50%.csv"
+    odd.write_bytes(b"a\n")
+    assert source_checksum(spark, str(odd)) == hashlib.sha256(b"a\n").hexdigest()
+    with open(paths["crews"], "a") as handle:
+        handle.write(" ")
+    assert source_checksum(spark, str(tmp_path / "src")) != several
+
+
+def test_every_file_of_a_source_is_checked(spark, tmp_path):
+    def source(name, *texts):
+        (tmp_path / name).mkdir()
+        for i, text in enumerate(texts):
+            (tmp_path / name / f"{i}.csv").write_text(text)
+        return land(spark, OPERATIONS, "regions", str(tmp_path / name), DAY, name, root=str(tmp_path / "lake"))
+
+    first = "region_id,region_code,region_name\n1,A,x\n"
+    result = source("good", first, first.replace("1,A", "2,B"))
+    rows = spark.read.parquet(result.destination_path).orderBy("_row_index").collect()
+    assert [(r._row_index, r.region_id, r.region_code) for r in rows] == [(0, "1", "A"), (1, "2", "B")]
+    for name, other in (
+        ("swapped", "region_code,region_id,region_name\nB,2,y\n"), ("lacking", "region_id,region_name\n2,y\n"),
+        ("extra", "region_id,region_code,region_name,more\n2,B,y,z\n"),
+    ):
+        with pytest.raises(LandingError, match="differ in their header"):
+            source(name, first, other)
+    with pytest.raises(LandingError, match="open quote"):
+        source("quoted", 'region_id,region_code,region_name\n1,A,"two\nlines"\n')
+    assert source("literal", 'region_id,region_code,region_name\n1,A,5" pipe\n').row_count == 1
 
 
 def test_csv_to_summary(spark, tmp_path):
@@ -130,11 +164,11 @@ def test_csv_to_summary(spark, tmp_path):
         return land_monitored(spark, OPERATIONS, sources, DAY, run, root=root, table=table, **options)
 
     first = go(paths, "r1")
-    assert (first.status, first.succeeded_count) == ("SUCCEEDED", 12)
+    assert (first.status, first.landed) == ("SUCCEEDED", 12)
     assert latest_complete_run(spark, OPERATIONS, DAY, table) == "r1"
     partial = go({k: v for k, v in paths.items() if k != "crews"}, "r2")
-    assert (partial.status, partial.failed_count) == ("PARTIAL_SUCCESS", 1)
-    with pytest.raises(AllEntitiesFailedError):
+    assert (partial.status, partial.failed) == ("PARTIAL_SUCCESS", 1)
+    with pytest.raises(NothingLandedError):
         go({}, "r3")
     # A repeated run id replaces its records instead of adding to them.
     assert go(paths, "r1", overwrite=True).status == "SUCCEEDED"
@@ -161,6 +195,9 @@ def test_csv_to_summary(spark, tmp_path):
     assert {r.region_id for r in accepted.collect()} == {"1", "3"}
     findings = spark.read.parquet(str(tmp_path / "findings"))
     assert {r.severity: r.finding_count for r in severity_rollup(findings, "s1").collect()} == {"Critical": 2, "Warning": 1}
+    assert {r.checksum_sha256 for r in spark.table(table).where("run_id = 'r4' AND entity_name = 'crews'").collect()} == {
+        hashlib.sha256(open(paths["crews"], "rb").read()).hexdigest()
+    }
     shown = [(r.record_id, r.rule_id) for r in finding_evidence(findings, "s1").collect()]
     assert shown == [("2", "REG-001"), ("2", "XEN-010"), ("3", "REG-003")]
     kept = spark.read.parquet(str(tmp_path / "quarantine")).collect()
