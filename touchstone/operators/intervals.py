@@ -118,6 +118,7 @@ def conflict_pairs(
     row: str,
     *,
     cell: int,
+    most_cells: int = 100_000,
 ) -> DataFrame:
     """Pairs of one key and different group that overlap or touch.
 
@@ -125,18 +126,16 @@ def conflict_pairs(
     ``back_to_back``).  Only intervals that share a time cell meet in the join:
     the later one sits in the cell of its start, the earlier one in every cell
     it spans, so each pair is found once and distant intervals never meet.
-    Intervals must have an end; choose ``cell`` near their usual length.
+    Intervals must have an end: one that spans more than ``most_cells`` cells is
+    an error, as it would be copied into each.  Choose ``cell`` near their usual
+    length; where only numbers are needed, ``conflict_counts`` lists no pair.
     """
     names = [*keys, start, end, group, row]
-    early = rows.select(*[F.col(c).alias(f"e_{c}") for c in names]).withColumn(
-        "_cell",
-        F.explode(
-            F.sequence(
-                F.floor(F.col(f"e_{start}") / cell).cast("long"),
-                F.floor(F.col(f"e_{end}") / cell).cast("long"),
-            )
-        ),
-    )
+    low = F.floor(F.col(f"e_{start}") / cell).cast("long")
+    high = F.floor(F.col(f"e_{end}") / cell).cast("long")
+    open_end = F.raise_error(F.lit(f"an interval spans more than {most_cells} cells; give it an end or choose a larger cell"))
+    cells = F.when(high - low >= most_cells, open_end.cast("array<bigint>")).otherwise(F.sequence(low, high))
+    early = rows.select(*[F.col(c).alias(f"e_{c}") for c in names]).withColumn("_cell", F.explode(cells))
     late = rows.select(*[F.col(c).alias(f"l_{c}") for c in names]).withColumn(
         "_late_cell", F.floor(F.col(f"l_{start}") / cell).cast("long")
     )
@@ -191,10 +190,15 @@ def conflict_counts(
     scan = OrderedScan(points, keys, ["at", "opens", row], hot_rows=hot_rows)
     opened, ended = F.col("opens").cast("long"), (1 - F.col("opens")).cast("long")
     scan.add(sum_to={"_opened": opened, "_ended": ended})
-    scan.add(within=[group], sum_to={"_own_opened": opened, "_own_ended": ended})
+    # The group's own counts are a scan of their own: groups lie scattered over a
+    # hot key's ranges, so within its scan every group would be carried on.
+    own = OrderedScan(points, [*keys, group], ["at", "opens", row], hot_rows=hot_rows)
+    own.add(sum_to={"_opened": opened, "_ended": ended})
     at_end, at_start = F.col("opens") == 0, F.col("opens") == 1
-    per_row = scan.rows.groupBy(row).agg(
-        F.max(F.when(at_end, F.col("_opened") - F.col("_own_opened"))).alias("_opened"),
-        F.max(F.when(at_start, F.col("_ended") - F.col("_own_ended"))).alias("_ended"),
+    sign = F.col("_sign")
+    both = scan.rows.withColumn("_sign", F.lit(1)).unionByName(own.rows.withColumn("_sign", F.lit(-1)))
+    per_row = both.groupBy(row).agg(
+        F.sum(F.when(at_end, sign * F.col("_opened"))).alias("_opened"),
+        F.sum(F.when(at_start, sign * F.col("_ended"))).alias("_ended"),
     )
     return per_row.select(row, (F.col("_opened") - F.col("_ended")).alias("overlaps"))

@@ -67,14 +67,24 @@ def lookup(
 
     ``attributes`` maps new column names to parent columns, ``order`` names the
     column that says which of several parents with one key is last (without it
-    the largest attributes win).  A null field resolves exactly when a parent
+    a hash of the attributes decides).  A null field resolves exactly when a parent
     has a null key.
     """
     key = F.col(parent_key).alias("_parent_key")
     if attributes:
-        carried = F.struct(*[F.col(src).alias(name) for name, src in attributes.items()])
-        picked = F.max_by(carried, F.col(order)) if order else F.max(carried)
-        known = parents.groupBy(key).agg(picked.alias("_carried"))
+        carried = F.struct(*[F.col(src).alias(name) for name, src in attributes.items()]).alias("_carried")
+        if order:
+            places = parents.select(key, F.col(order).alias("_place"), carried)
+        else:
+            # Equal copies go first; of the others one is taken, the same each time.
+            copies = parents.select(key, *[F.col(src).alias(name) for name, src in attributes.items()]).distinct()
+            carried = F.struct(*attributes).alias("_carried")
+            places = copies.select("_parent_key", F.xxhash64(*attributes).alias("_place"), carried)
+        # Only fixed-width values are aggregated, which Spark does by hashing;
+        # the winning row is then found by its place.
+        last = places.groupBy(F.col("_parent_key").alias("_last_key")).agg(F.max("_place").alias("_last"))
+        won = places["_parent_key"].eqNullSafe(last["_last_key"]) & (places["_place"] >= last["_last"])
+        known = places.join(last, won).select("_parent_key", "_carried")
     else:
         known = parents.select(key).distinct().withColumn("_carried", F.lit(None))
     left = _spread(rows, [field], "_spread")

@@ -17,6 +17,10 @@ from touchstone.plans.rules import RECORD, ROW, Check, Entity, Link, Pack
 from touchstone.session import materialize
 
 
+#: Columns that landing adds; everything else is source data.
+_LANDING = (ROW, "_source_file")
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -113,7 +117,7 @@ class Result:
 
     def _records(self, entity: str) -> DataFrame:
         table = self.tables[entity]
-        columns = sorted(c for c in table.columns if not c.startswith("_"))
+        columns = sorted(c for c in table.columns if c not in _LANDING)
         record = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
         return table.select(ROW, record.alias("source_record"))
 
@@ -131,7 +135,8 @@ class Result:
     def quarantine(self, entity: str | None = None) -> DataFrame:
         """Rows with a critical finding, with their record and rule ids as JSON.
 
-        The list of one row is bounded by the rules and fields of its entity.
+        The list of one row is bounded by the rules and fields of its entity; it
+        names a repeated finding once, and ``finding_count`` counts each.
         """
         parts = []
         for name in (entity,) if entity else self.entities:
@@ -139,7 +144,7 @@ class Result:
             grouped = (
                 self._of(name)
                 .groupBy(ROW, "record_id")
-                .agg(ordered.alias("_all"))
+                .agg(ordered.alias("_all"), F.sum("occurrences").alias("finding_count"))
                 .where(F.exists("_all", lambda r: r["severity"] == "Critical"))
             )
             ids = F.transform("_all", lambda r: r["rule_id"])
@@ -155,6 +160,7 @@ class Result:
                     F.col("source_record").alias("source_record_json"),
                     F.to_json(critical).alias("critical_rule_ids"),
                     F.to_json(ids).alias("all_rule_ids"),
+                    "finding_count",
                 )
             )
         return _union(parts)

@@ -225,7 +225,7 @@ def accepted_dataset(
 
 
 def require_accepted(tables: Mapping[str, DataFrame], **options) -> None:
-    """Raise ``GateError`` naming some of the reasons, if there are any."""
-    shown = accepted_dataset(tables, **options).limit(10).collect()
+    """Raise ``GateError`` naming all reasons, if there are any: at most one per check and entity."""
+    shown = accepted_dataset(tables, **options).orderBy("entity", "reason").collect()
     if shown:
         raise GateError("; ".join(f"{r.entity}: {r.reason} ({r.failures})" for r in shown))

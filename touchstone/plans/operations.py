@@ -222,12 +222,34 @@ def _schedule_prepare(rows: DataFrame) -> DataFrame:
 
 
 def _product_matches(left, a, b):
-    """left = a * b within the tolerance, exact while the operands stay below 1e11."""
-    exact = within_tolerance(
-        left, F.try_multiply(a.try_cast("decimal(20,9)"), b.try_cast("decimal(20,9)"))
-    )
-    rough = F.abs(left.cast("double") - a.cast("double") * b.cast("double")) <= F.lit(float(TOLERANCE))
-    return F.coalesce(exact, rough)
+    """left = a * b within the tolerance, exactly, for factors below 10^27.
+
+    The factors are split at 10^9 into a whole high part and a low part below
+    10^9, and the four partial products are compared with ``left`` piece by
+    piece, highest first: each piece carries what is left over to the next.
+    """
+    unit = F.lit(10**9).cast("decimal(10,0)")
+
+    def parts(x):
+        low = (F.abs(x) % unit).cast("decimal(19,10)")
+        high = ((F.abs(x) - low) / unit).try_cast("decimal(18,0)")
+        return high, low
+
+    (ah, al), (bh, bl) = parts(a), parts(b)
+    negative = (a < 0) != (b < 0)
+    signed = F.when(negative, -left).otherwise(left)
+    # |a * b| = ah*bh * 10^18 + (ah*bl + al*bh) * 10^9 + al*bl; ``left`` has at
+    # most 28 whole digits, so a high product above 10^10 can't be met.
+    top = F.try_multiply(ah, bh)
+    reach = top <= F.lit(10**11).cast("decimal(12,0)")
+    middle = F.try_add(F.try_multiply(ah, bl), F.try_multiply(al, bh)).try_cast("decimal(38,10)")
+    low = F.try_multiply(al, bl).try_cast("decimal(38,18)")
+    step = unit.cast("decimal(10,0)")
+    rest = F.try_subtract(signed.try_cast("decimal(38,10)"), F.try_multiply(top.try_cast("decimal(12,0)"), F.lit(10**18).cast("decimal(19,0)")).try_cast("decimal(38,10)"))
+    rest = F.try_subtract(rest, F.try_multiply(middle.try_cast("decimal(27,10)"), step).try_cast("decimal(38,10)"))
+    near = F.abs(F.try_subtract(rest.try_cast("decimal(38,18)"), low)) <= F.lit(TOLERANCE).cast("decimal(7,6)")
+    known = left.isNotNull() & a.isNotNull() & b.isNotNull()
+    return F.when(known, reach & F.coalesce(near, F.lit(False)))
 
 
 def _schedule_checks() -> list[Check]:

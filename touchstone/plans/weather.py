@@ -284,10 +284,19 @@ def hourly_rows(checked: DataFrame) -> DataFrame:
     return typed.select(*COLUMNS, RECORD_FILE, errors.alias("_errors"))
 
 
+class RejectedRecordsError(WeatherError):
+    """Strict mode found bad records; ``rejected`` has every reason of every record."""
+
+    def __init__(self, text: str, rejected: DataFrame) -> None:
+        super().__init__(text)
+        self.rejected = rejected
+
+
 def flatten(records: DataFrame, mode: str = "strict") -> Flattened:
     """Hourly rows of all records.
 
-    ``strict`` raises when any record is bad and names the first few;
+    ``strict`` raises when any record is bad: the error names the first few and
+    carries the frame of all reasons as ``rejected``;
     ``quarantine`` keeps whole records out and reports every reason.
     """
     if mode not in ("strict", "quarantine"):
@@ -301,7 +310,7 @@ def flatten(records: DataFrame, mode: str = "strict") -> Flattened:
         shown = rejected.limit(5).collect()
         if shown:
             reasons = "; ".join(f"{r[RECORD_FILE]}: {r['reason']}" for r in shown)
-            raise WeatherError(f"{rejected.count()} problems in Bronze records, among them: {reasons}")
+            raise RejectedRecordsError(f"{rejected.count()} problems in Bronze records, among them: {reasons}", rejected)
         return Flattened(hours.select(*COLUMNS), rejected)
     bad = rejected.select(RECORD_FILE).distinct()
     kept = hours.join(bad, RECORD_FILE, "left_anti")

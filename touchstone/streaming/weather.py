@@ -25,17 +25,22 @@ def upsert_new_forecasts(
     *,
     mode: str = "strict",
     rejected_root: str | None = None,
+    max_files: int = 10_000,
 ) -> StreamingQuery:
     """Read the new files below ``root`` and upsert their hours into ``table``.
 
     Ends when everything there has been read.  Batches run in a session of their
     own, so refresh the table before reading it in this one.  In ``quarantine`` mode the
-    reasons of kept-out records go to ``rejected_root``, one folder per batch.
+    reasons of kept-out records go to ``rejected_root``, one folder per batch; it
+    must be given.  A backlog is read ``max_files`` files at a time.
     """
+    if mode == "quarantine" and not rejected_root:
+        raise ValueError("quarantine mode needs a folder for the rejected records")
     records = (
         spark.readStream.format("text")
         .option("wholetext", "true")
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", max_files)
         .load(root)
         .select(
             F.try_parse_json("value").alias("record"), F.col("_metadata.file_path").alias(RECORD_FILE)

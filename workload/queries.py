@@ -668,11 +668,11 @@ def accept_quarantine(spark, folder):
     "quarantine_ids",
     f"""WITH {TABLES_SQL} SELECT entity, record_id,
         CONCAT('["', STRING_AGG(rule_id, '","' ORDER BY rule_id) FILTER (severity = 'Critical'), '"]') AS critical_rule_ids,
-        CONCAT('["', STRING_AGG(rule_id, '","' ORDER BY rule_id), '"]') AS all_rule_ids
+        CONCAT('["', STRING_AGG(rule_id, '","' ORDER BY rule_id), '"]') AS all_rule_ids, COUNT(*) AS finding_count
     FROM findings GROUP BY entity, r, record_id HAVING COUNT(*) FILTER (severity = 'Critical') > 0""",
 )
 def quarantine_ids(spark, folder):
-    return _retail(spark, folder).quarantine().select("entity", "record_id", "critical_rule_ids", "all_rule_ids")
+    return _retail(spark, folder).quarantine().select("entity", "record_id", "critical_rule_ids", "all_rule_ids", "finding_count")
 
 
 _SUMMARY = f"""WITH {TABLES_SQL}, sizes AS (SELECT 'customer' AS entity, COUNT(*) AS rows_read FROM customer
