@@ -120,6 +120,7 @@ def test_locations(spark):
     assert [r.location_id for r in active_locations(frame).collect()] == ["A", "B"]
     with pytest.raises(ValueError, match="timezone"):
         location_violations(frame.drop("timezone"))
+    assert [(r.location_id, r.reason) for r in location_violations(frame.limit(0)).collect()] == [(None, "no location is configured")]
 
 
 def test_incremental_forecasts(spark, tmp_path):

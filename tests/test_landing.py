@@ -202,4 +202,13 @@ def test_csv_to_summary(spark, tmp_path):
     assert shown == [("2", "REG-001"), ("2", "XEN-010"), ("3", "REG-003")]
     kept = spark.read.parquet(str(tmp_path / "quarantine")).collect()
     assert [(r.run_id, r.entity, r.record_id) for r in kept] == [("s1", "regions", "2")]
+    for _ in range(2):  # tables as well as folders, and other formats
+        write_findings(result, "sink_findings")
+        write_quarantine(result, "sink_quarantine", source_format="orc")
+        write_accepted(result, "sink_accepted", source_format="orc")
+    assert spark.table("sink_findings").where("run_id = 's1'").count() == findings.count()
+    assert [(r.entity, r.finding_count) for r in spark.table("sink_quarantine").collect()] == [("regions", 2)]
+    assert {r.region_id for r in spark.table("sink_accepted_regions").collect()} == {"1", "3"}
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("sink_")]:
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"DROP TABLE {table}")

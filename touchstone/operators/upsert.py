@@ -7,8 +7,8 @@ columns are part of the key, so no row outside them can match.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchstone.operators.keys import null_safe
-from touchstone.session import materialize
+from touchstone.session import ensure_checkpoint_dir, materialize
 
 _MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
 
@@ -49,15 +49,24 @@ def ambiguous(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     return repeated.join(target, _same_keys(repeated, target, keys), "left_semi")
 
 
-@contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, mode)
+def _replace(spark: SparkSession, name: str, state: DataFrame, mode: str) -> None:
+    """Write ``state`` to the shared folder, then put it in place of what it replaces.
+
+    The overwrite runs in a session of its own, so no setting of this one
+    changes under other writers.  If it fails, the error names the folder with
+    the complete new state, from which the overwrite can be repeated.
+    """
+    stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-{uuid.uuid4().hex}"
+    state.write.parquet(stage)
+    child = spark.newSession()
+    child.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+        child.read.schema(state.schema).parquet(stage).write.mode("overwrite").insertInto(name)
+    except Exception as exc:
+        raise UpsertError(f"{name} could not be replaced; its new state is complete in {stage}") from exc
+    spark.catalog.refreshTable(name)
+    place = spark._jvm.org.apache.hadoop.fs.Path(stage)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -75,10 +84,13 @@ def upsert(
     keys: Sequence[str],
     *,
     partition_by: Sequence[str] = (),
+    settled: bool = False,
 ) -> UpsertResult:
     """Create ``table`` from ``source``, or merge ``source`` into it by ``keys``.
 
     ``partition_by`` (a part of ``keys``) applies when the table is created.
+    ``settled`` says that the source is already checkpointed or written, so it
+    may be read several times without being kept once more.
     """
     name = table.strip() if isinstance(table, str) else ""
     if not name:
@@ -88,7 +100,7 @@ def upsert(
     if not set(partition_by) <= set(keys):
         raise UpsertError("partition columns must be part of the key")
     spark = source.sparkSession
-    source = materialize(source)
+    source = source if settled else materialize(source)
     count = source.count()
     if count == 0:
         raise UpsertError("the source holds no rows")
@@ -125,8 +137,5 @@ def upsert(
         mode = "dynamic"
     else:
         mode = "static"
-    # The new state is complete in the checkpoint before the table is replaced.
-    result = materialize(merged(target, source, keys).select(*spark.table(name).columns))
-    with _overwrite_mode(spark, mode):
-        result.write.mode("overwrite").insertInto(name)
+    _replace(spark, name, merged(target, source, keys).select(*spark.table(name).columns), mode)
     return UpsertResult(name, count, "merged")

@@ -19,7 +19,7 @@ def out_of_range(value, low: float, high: float):
 
 
 def location_violations(locations: DataFrame) -> DataFrame:
-    """One row per location and reason; empty when the table is sound."""
+    """One row per location and reason; empty when the table is sound, which an empty table is not."""
     absent = [c for c in COLUMNS if c not in locations.columns]
     if absent:
         raise ValueError(f"locations are missing required fields: {sorted(absent)}")
@@ -45,7 +45,9 @@ def location_violations(locations: DataFrame) -> DataFrame:
     entries = F.array_compact(F.array(*[F.when(bad, F.lit(text)) for bad, text in reasons]))
     broken = known.select("location_id", F.explode(entries).alias("reason"))
     repeated = duplicates(locations.select("location_id"), "location_id")
-    return broken.unionByName(repeated.withColumn("reason", F.lit("Duplicate location_id found.")))
+    none = locations.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+    none = none.select(F.lit(None).cast(locations.schema["location_id"].dataType).alias("location_id"), F.lit("no location is configured").alias("reason"))
+    return broken.unionByName(repeated.withColumn("reason", F.lit("Duplicate location_id found."))).unionByName(none)
 
 
 def active_locations(locations: DataFrame) -> DataFrame:

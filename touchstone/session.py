@@ -12,7 +12,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        # One process only: a cluster on one machine has executors of its own.
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="touchstone-checkpoint-")
     if context.getCheckpointDir() is None:

@@ -54,7 +54,7 @@ def upsert_new_forecasts(
         if rejected_root:
             split.rejected.write.mode("overwrite").parquet(f"{rejected_root}/batch={number}")
         if not split.rows.isEmpty():
-            upsert(split.rows, table, KEYS, partition_by=["pipeline_run_id"])
+            upsert(split.rows, table, KEYS, partition_by=["pipeline_run_id"], settled=True)
 
     return (
         records.writeStream.foreachBatch(store)
