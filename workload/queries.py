@@ -363,11 +363,14 @@ def lineage_closed(spark, folder):
 
 def _turns(spark, folder) -> DataFrame:
     """Conversation turns as a lineage: every turn but the first follows the one before."""
-    key = F.col("conv_id") * 1000 + F.col("turn")
+
+    def turn_id(turn: Column) -> Column:
+        return F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
+
     return load(spark, folder, "conversations").select(
-        key.alias("row"),
-        key.cast("string").alias("id"),
-        F.when(F.col("turn") > 0, (key - 1).cast("string")).alias("pred"),
+        turn_id(F.col("turn")).alias("row"),
+        turn_id(F.col("turn")).alias("id"),
+        F.when(F.col("turn") > 0, turn_id(F.col("turn") - 1)).alias("pred"),
         F.lit("Rescheduled").alias("status"),
         F.col("role").alias("role"),
     )
@@ -375,8 +378,7 @@ def _turns(spark, folder) -> DataFrame:
 
 @query(
     "lineage_chains",
-    """SELECT CAST(conv_id * 1000 AS VARCHAR) AS root, turn AS depth, CAST(conv_id * 1000 + turn AS VARCHAR) AS node
-    FROM conversations""",
+    """SELECT conv_id || '-0' AS root, turn AS depth, conv_id || '-' || turn AS node FROM conversations""",
 )
 def lineage_chains(spark, folder):
     return chains(_turns(spark, folder), "id", "pred", "status", "Rescheduled", "row")
@@ -384,7 +386,7 @@ def lineage_chains(spark, folder):
 
 @query(
     "lineage_chain_summary",
-    """SELECT CAST(conv_id * 1000 AS VARCHAR) AS root, COUNT(*) - 1 AS links, COUNT(*) AS members,
+    """SELECT conv_id || '-0' AS root, COUNT(*) - 1 AS links, COUNT(*) AS members,
         COUNT(DISTINCT role) AS distinct_moments FROM conversations GROUP BY conv_id""",
 )
 def lineage_chain_summary(spark, folder):
@@ -475,7 +477,9 @@ def _forecasts(spark, folder) -> DataFrame:
     n = F.size("embedding")
     hours = F.transform(
         F.sequence(F.lit(0), n - 1),
-        lambda i: F.format_string("2026-07-%02dT%02d:00", F.floor(i / 24).cast("int") + 1, i % 24),
+        lambda i: F.replace(
+            F.substring(F.timestamp_add("HOUR", i, F.lit("2026-07-01").cast("timestamp_ntz")).cast("string"), 1, 16), F.lit(" "), F.lit("T")
+        ),
     )
     label = F.col("label")
     hourly = F.struct(
