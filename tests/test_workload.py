@@ -33,3 +33,16 @@ def test_query_matches_sql(spark, name):
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(frame.columns)
     assert rows_of(frame.columns, [tuple(r) for r in frame.collect()]) == rows_of(columns, cursor.fetchall())
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="tables not available")
+def test_every_rule_fires_in_its_sql():
+    from touchstone.plans.operations import OPERATIONS
+
+    base = duckdb.connect()
+    for table in TABLES:
+        base.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.01/{table}.parquet'")
+    fired = set()
+    for name in OPERATIONS.entities:
+        fired |= {row[0] for row in base.execute(f"SELECT DISTINCT rule_id FROM ({ORACLES[f'operations_{name}']})").fetchall()}
+    assert fired == set(OPERATIONS.rules)
