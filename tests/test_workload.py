@@ -45,4 +45,4 @@ def test_every_rule_fires_in_its_sql():
     fired = set()
     for name in OPERATIONS.entities:
         fired |= {row[0] for row in base.execute(f"SELECT DISTINCT rule_id FROM ({ORACLES[f'operations_{name}']})").fetchall()}
-    assert fired == set(OPERATIONS.rules)
+    assert fired == {rule.rule_id for rule in OPERATIONS.rules}
