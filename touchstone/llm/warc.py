@@ -103,17 +103,16 @@ def _record(moment: Column) -> Column:
 def write_archives(pages: DataFrame, folder: str, *, min_bytes: int = MIN_REVISIT_BYTES, part_bytes: int = PART_BYTES) -> None:
     """Write a record per page into gzip-compressed WARC parts below ``folder``.
 
-    Parts are cut so that one holds about ``part_bytes`` of payload; a larger
-    page has a part of its own.  A payload of at least ``min_bytes`` that repeats
-    is stored once, with its largest page id; the other captures are revisits.
+    A part ends after as many records as hold ``part_bytes`` of payload on
+    average.  A payload of at least ``min_bytes`` that repeats is stored once,
+    with its largest page id; the other captures are revisits.
     """
-    total = pages.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
-    parts = max(1, -(-total // part_bytes))
-    decided = with_decisions(pages, min_bytes)
+    row = pages.agg(F.sum(F.octet_length("html").cast("long")).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
+    most = max(1, part_bytes * row["rows"] // max(1, row["bytes"] or 0))
     moment = F.to_utc_timestamp(capture_time(F.col("page_id")), F.current_timezone())
-    records = decided.select(_record(moment).alias("value"), F.xxhash64("page_id", "digest").alias("deal"))
-    records = records.repartition(int(parts), "deal").select("value")
-    records.write.option("lineSep", "\n").option("compression", "gzip").text(folder)
+    # Payloads move once, to meet the decisions; parts are cut while writing.
+    records = with_decisions(pages, min_bytes).select(_record(moment).alias("value"))
+    records.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", most).text(folder)
 
 
 def records_of(data: bytes) -> Iterator[tuple[dict[str, str], int, bytes]]:
