@@ -16,6 +16,7 @@ from touchstone.llm.line_dedup import dedup_lines
 from touchstone.llm.mixing import mix_decisions
 from touchstone.llm.quality import quality_scores
 from touchstone.llm.token_count import count_tokens
+from touchstone.llm.token_ids import stored_token_ids
 from touchstone.llm.topk import top_inner_products
 from touchstone.llm.toxicity import toxicity_scores
 from touchstone.llm.warc import archive_pages
@@ -115,6 +116,13 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_rows(_table(spark, folder, "documents"))
 
 
+@_query
+def op11_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    stored = stored_token_ids(docs, vocabulary_path("word_bpe_49k.json"), end_id=2)
+    return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 ORACLES["op1_exact_topk"] = """
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
