@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from touchstone.llm.class_lm import class_scores
 from touchstone.llm.common import crc_fold
 from touchstone.llm.decontaminate import match_benchmark
+from touchstone.llm.hard_negatives import mine_hard_negatives
 from touchstone.llm.jaccard_join import near_duplicate_rows
 from touchstone.llm.line_dedup import dedup_lines
 from touchstone.llm.mixing import mix_decisions
@@ -20,6 +21,7 @@ from touchstone.llm.token_ids import stored_token_ids
 from touchstone.llm.topk import top_inner_products
 from touchstone.llm.toxicity import toxicity_scores
 from touchstone.llm.warc import archive_pages
+from touchstone.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,6 +125,19 @@ def op11_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@_query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whiten(_table(spark, folder, "embeddings"), scale=1024, offset=100_000, components=8)
+    # Exact as a decimal; where it passes a long it is null.
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 ORACLES["op1_exact_topk"] = """
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -185,3 +200,26 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) A
        sha256(coalesce(i.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
 """
+
+ORACLES["op13_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.vec_id <> c.vec_id AND a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same
+  ) WHERE place <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
