@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import AWKWARD, LONG, SCHEMA
 from hypothesis import given, settings
@@ -30,18 +31,31 @@ def expected(rows):
     return out
 
 
+def encoded(own, text):
+    ids, sizes = own.encode(pa.array([text], pa.string()))
+    assert list(sizes) == [len(ids)]
+    return list(ids)
+
+
 def digests(frame):
     rows = frame.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).collect()
     return sorted((tuple(r) for r in rows), key=lambda r: r[1])
 
 
-PIECES = st.sampled_from([" ", "  ", "\n", "\t", "\r\n", "the", "The", "ing", "'s", "'LL", "12", "é", "ß", "€", " ", " ", "\x1c", "\x85", "\U0001f600", "!!", "###", "<|endoftext|>", "<|end", "中文", "a", "́", "ͅ", "Σ", "ΑΣ"])
+PIECES = st.sampled_from([" ", "  ", "\n", "\t", "\r\n", "the", "The", "ing", "(Word", "wörd),", "ÀÉ...", "a-b", "<", "|>", "_",  "'s", "'LL", "12", "é", "ß", "€", " ", " ", "\x1c", "\x85", "\U0001f600", "!!", "###", "<|endoftext|>", "<|EndOfText|>", "<|end", "中文", "a", "́", "ͅ", "Σ", "ΑΣ"])
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(PIECES, max_size=30).map("".join))
 def test_ids_are_the_librarys(text):
-    assert list(np.frombuffer(OWN.encode([text])[0], "<u4")) == library(text)[:-1]
+    assert encoded(OWN, text) == library(text)[:-1]
+
+
+def test_several_texts_at_once():
+    texts = ["One two, two!", None, "", "  ", "(Three)\nfour's <|endoftext|>one", "é" * 50, "<|ENDOFTEXT|>", "Two"]
+    ids, sizes = OWN.encode(pa.array(texts))
+    ends = np.cumsum(sizes)
+    assert [list(ids[e - n : e]) for e, n in zip(ends, sizes, strict=True)] == [library(t)[:-1] for t in texts]
 
 
 def test_words_are_forgotten_in_time(monkeypatch):
@@ -49,17 +63,17 @@ def test_words_are_forgotten_in_time(monkeypatch):
     small = Encoder(PATH)
     texts = [f"word{i} and {'long' * 40}{i}" for i in range(20)]
     for text in texts:
-        assert list(np.frombuffer(small.encode([text])[0], "<u4")) == library(text)[:-1]
-        assert len(small.known) <= 4
+        assert encoded(small, text) == library(text)[:-1]
+        assert len(small.pieces) == len(small.sizes) <= 5
 
 
 def test_other_vocabularies_get_whole_texts():
     path = vocabulary_path("byte_bpe_50k.json")
     other = Encoder(path)
-    assert not other.by_word
+    assert not other.by_piece
     text = "Two  spaces\n\nand <|endoftext|> here "
     want = tokenizers.Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
-    assert list(np.frombuffer(other.encode([text])[0], "<u4")) == want
+    assert encoded(other, text) == want
 
 
 @settings(max_examples=200, deadline=None)
@@ -115,8 +129,7 @@ def test_files_are_bounded_and_in_order(spark, tmp_path):
     assert seen == sorted(seen, reverse=True) and sum(seen) == sum(x[2] for x in flat)
 
 
-def test_one_id_and_text_on_very_many_rows(spark, monkeypatch):
-    monkeypatch.setattr(token_ids, "SAME_ROWS", 50)
+def test_one_id_and_text_on_very_many_rows(spark):
     rows = [(5, "the same again", "en", "a", 0)] * 300 + [(i, f"text {i}", "en", "a", 0) for i in range(20)]
     got = digests(stored_token_ids(spark.createDataFrame(rows, SCHEMA).repartition(6), PATH, end_id=2, file_ids=64))
     # Id 5 has two texts; which comes first is settled by a hash.

@@ -1,16 +1,16 @@
 """Token ids on disk: frequency-ranked, byte-aligned, control bytes apart from data.
 
-A first pass tokenises every text, counts each id and notes how many ids each
-document has.  Ids are then numbered by falling count, so the frequent ones get
+A first pass tokenises every text, once, and keeps the ids as Parquet in the
+shared folder.  Ids are then numbered by falling count, so the frequent ones get
 small ranks, and a rank takes one to four bytes.  How many is said by two bits
 in a control byte of its own, four ranks to a control byte, so decoding looks up
 the lengths of four ranks at once and never branches on data.
 
-A second pass tokenises again, codes each document where its text lies, and
-moves only the codes: documents go to parts by ascending id, whose bounds and
-first positions the first pass has settled, and each part is cut into files of
-about ``FILE_IDS`` ids.  Every file says at which position of the whole stream
-it starts, so files are read in any order and on their own.
+A second pass codes each document where its ids lie, and moves only the codes:
+documents go to parts by ascending id, whose bounds and first positions are
+settled before, from the numbers of ids alone, and each part is cut into files
+of about ``FILE_IDS`` ids.  Every file says at which position of the whole
+stream it starts, so files are read in any order and on their own.
 
 A file is a header (``_HEADER``), then per document its id (8 bytes), whether it
 has one (1 byte) and its number of ids (8 bytes), then all control bytes, then
@@ -29,17 +29,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchstone.llm.common import shared_folder, slices
-from touchstone.session import materialize
 
 FILE_IDS = 1 << 22
 MAX_PARTS = 20_000
-#: So often one id and text may stand before its rows get numbers of their own.
-SAME_ROWS = 10_000
-_CACHE_PIECES, _CACHE_CHARS = 300_000, 64
+_CACHE_PIECES = 600_000
 _TEXT_BYTES, _OUT_BYTES, _STEP = 4 << 20, 8 << 20, 1 << 18
 
 #: The word pattern of vocabularies that drop white space.
@@ -54,11 +52,20 @@ LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
+#: Letters, and marks that never join them in a word.  Not among the marks:
+#: apostrophes, which bind to letters.
+_LETTERS = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}"
+_MARKS = r"!-&(-/:;=?@\[-`{}~"
+_WORDS_AT_ONCE = 100
+
+
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them, without added specials.
 
-    Where the vocabulary drops white space, words between spaces are encoded once
-    and remembered; other vocabularies get every text whole.
+    Where the vocabulary drops white space and case, Arrow cuts texts into
+    pieces, the library sees each distinct piece once, and ids are gathered
+    piece by piece.  Pieces of letters alone go to it many to a text.  Other
+    vocabularies, and texts with the string of an added token, go whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,37 +73,88 @@ class Encoder:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            self.by_word = _space_separates(json.load(file))
+            spec = json.load(file)
+        self.by_piece = _space_separates(spec)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, np.uint32).tobytes()
-
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.by_word:
-            return list(self._library([t or "" for t in texts]))
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        known, distinct = self.known, set().union(*cut)
-        missing = [piece for piece in distinct if piece not in known]
-        if len(known) + len(missing) > _CACHE_PIECES:
-            known.clear()
-            missing = list(distinct)
-        known.update(zip(missing, self._library(missing), strict=True))
-        coded = [b"".join([known[piece] for piece in pieces]) for pieces in cut]
-        for piece in missing:
-            if len(piece) > _CACHE_CHARS:
-                del known[piece]
-        return coded
+        self.added = [t["content"].lower() for t in spec["added_tokens"]]
+        if self.by_piece:
+            vocab, end = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
+            self.closes = np.zeros(max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1, bool)
+            self.closes[[i for token, i in vocab.items() if token.endswith(end)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.pieces = pa.array([], pa.string())
+        self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(found.ids, np.uint32) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: pa.Array) -> None:
+        """Add the ids of pieces without spaces to what is known."""
+        letters = pc.match_substring_regex(pieces, f"^[{_LETTERS}]+$")
+        words, other = pieces.filter(letters), pieces.filter(pc.invert(letters))
+        bounds = np.append(np.arange(0, len(words), _WORDS_AT_ONCE), len(words)).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(bounds, words), " ").to_pylist()
+        ids = np.concatenate([np.empty(0, np.uint32), *self._library(texts)])
+        # A word of letters ends where a token closes a word.
+        sizes = np.diff(np.flatnonzero(self.closes[ids]), prepend=-1)
+        if len(sizes) != len(words):
+            raise ValueError("the vocabulary does not close each word")
+        alone = self._library(other.to_pylist())
+        self.pieces = pa.concat_arrays([self.pieces, words, other])
+        self.sizes = np.concatenate([self.sizes, sizes, np.array([len(a) for a in alone], np.int64)])
+        self.ids = np.concatenate([self.ids, ids, *alone])
+
+    def _by_piece(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        cut = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
+        for pattern in (f"([{_LETTERS}])([{_MARKS}])", f"([{_MARKS}])([{_LETTERS}])"):
+            cut = pc.replace_substring_regex(cut, pattern, r"\1 \2")
+        cut = pc.split_pattern(cut, " ")
+        coded = cut.flatten().dictionary_encode()
+        found = pc.index_in(coded.dictionary, self.pieces)
+        if found.null_count:
+            missing = coded.dictionary.filter(found.is_null())
+            if len(self.pieces) + len(missing) > _CACHE_PIECES:
+                self._forget()
+                missing = coded.dictionary
+            self._learn(missing)
+            found = pc.index_in(coded.dictionary, self.pieces)
+        places = found.to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+        each, starts = self.sizes[places], np.cumsum(self.sizes) - self.sizes
+        ends = np.concatenate([[0], np.cumsum(each)])
+        # Where each id of the output lies among the known ones: piece after piece.
+        at = np.repeat(starts[places] - ends[:-1], each) + np.arange(int(ends[-1]))
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
+        return self.ids[at], np.diff(ends[bounds])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``texts`` in a row, and the number of ids of each; a null has none."""
+        texts = pc.fill_null(texts, "")
+        whole = np.full(len(texts), not self.by_piece)
+        if self.by_piece:
+            for content in self.added:
+                whole |= pc.match_substring(pc.ascii_lower(texts), content).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_piece(texts)
+        alone = self._library(texts.filter(pa.array(whole)).to_pylist())
+        ids, sizes = self._by_piece(texts.filter(pa.array(~whole))) if not whole.all() else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        pieces, ends = iter(alone), iter(np.cumsum(sizes))
+        parts, at = [], 0
+        for own in whole:
+            if own:
+                parts.append(next(pieces))
+            else:
+                end = next(ends)
+                parts.append(ids[at:end])
+                at = end
+        return np.concatenate([np.empty(0, np.uint32), *parts]), np.array([len(part) for part in parts], np.int64)
 
 
 def _space_separates(spec: dict) -> bool:
-    """Whether text may be cut at spaces and line feeds without changing any id."""
+    """Whether text may be cut at spaces, line feeds and marks, and lower-cased, without changing any id."""
     normal = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
     steps = normal["normalizers"] if normal["type"] == "Sequence" else [normal]
     plain = all(
@@ -111,7 +169,8 @@ def _space_separates(spec: dict) -> bool:
     alone = all(
         not (t["lstrip"] or t["rstrip"] or t["single_word"]) and not any(c.isspace() for c in t["content"]) for t in spec["added_tokens"]
     )
-    return plain and drops and alone and not spec["model"].get("dropout")
+    ends = bool(spec["model"].get("end_of_word_suffix")) and not spec["model"].get("dropout")
+    return plain and {"type": "Lowercase"} in steps and drops and alone and ends
 
 
 @lru_cache(maxsize=2)
@@ -189,32 +248,42 @@ def unpack_file(content: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
         start += int(counts[k])
 
 
-_PASS = "has_id boolean, id long, tie long, place long, n long, counts array<struct<token:int,seen:long>>"
+_ORDER = ["has_id", "id", "tie", "place"]
+_KEYS = "has_id boolean, id long, tie long, place long, n long"
 
 
-def _measure(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
-    """A row per document with its number of ids, and a row per task with its id counts."""
-    tail = b"" if end_id is None else np.uint32(end_id).tobytes()
+def _tokenised(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
+    """A row per document with its ids as little-endian integers of 4 bytes."""
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)
-        seen = np.zeros(max(tokens.size, (end_id or 0) + 1), np.int64)
-        none = pa.array([], pa.list_(pa.struct([("token", pa.int32()), ("seen", pa.int64())])))
+        tail = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in slices(batches, "text", _TEXT_BYTES):
-            sizes = []
-            for ids in tokens.encode(batch.column("text").to_pylist()):
-                own = np.frombuffer(ids + tail, "<u4")
-                sizes.append(len(own))
-                seen += np.bincount(own, minlength=len(seen))
-            keys = [batch.column(c) for c in ("has_id", "id", "tie", "place")]
-            empty = pa.nulls(batch.num_rows, none.type)
-            yield pa.RecordBatch.from_arrays([*keys, pa.array(sizes, pa.int64()), empty], names=["has_id", "id", "tie", "place", "n", "counts"])
+            ids, sizes = tokens.encode(batch.column("text"))
+            ends = np.cumsum(sizes)
+            ids = np.insert(ids, np.repeat(ends, len(tail)), np.tile(tail, len(sizes))).astype("<u4")
+            sizes = sizes + len(tail)
+            bounds = np.concatenate([[0], np.cumsum(4 * sizes)])
+            column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)])
+            keys = [batch.column(c) for c in _ORDER]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(sizes, pa.int64()), column.cast(pa.binary())], names=[*_ORDER, "n", "ids"])
+
+    return docs.mapInArrow(tokenise, f"{_KEYS}, ids binary")
+
+
+def _counts(tokens: DataFrame) -> DataFrame:
+    """How often each id occurs; added up in the tasks first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
+        for batch in slices(batches, "ids", _OUT_BYTES):
+            own = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4"), minlength=len(seen))
+            own[: len(seen)] += seen
+            seen = own
         where = np.flatnonzero(seen)
-        counts = pa.array([[{"token": int(t), "seen": int(seen[t])} for t in where]], none.type)
-        nothing = [pa.nulls(1, t) for t in (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*nothing, counts], names=["has_id", "id", "tie", "place", "n", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(seen[where], pa.int64())], names=["token", "seen"])
 
-    return docs.mapInArrow(measure, _PASS)
+    return tokens.select("ids").mapInArrow(count, "token int, seen long").groupBy("token").agg(F.sum("seen").alias("seen"))
 
 
 def write_token_ids(
@@ -241,23 +310,16 @@ def write_token_ids(
     table gives an empty stream.
     """
     spark = docs.sparkSession
+    # Rows alike in all still differ in place, so even they can go to several parts.
     keyed = docs.select(
         F.col(id_col).isNotNull().alias("has_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
-        F.xxhash64(text_col).alias("tie"), F.lit(0).cast("long").alias("place"), F.col(text_col).alias("text"),
+        F.xxhash64(text_col).alias("tie"), F.monotonically_increasing_id().alias("place"), F.col(text_col).alias("text"),
     )
-    order = ["has_id", "id", "tie", "place"]
-    measured = materialize(_measure(keyed, vocabulary, end_id))
-    sizes = measured.where("has_id is not null").select(*order, "n")
-    if not sizes.groupBy(*order).count().where(F.col("count") > SAME_ROWS).isEmpty():
-        # Rows alike in all could only go to one part together: number them, for good.
-        numbered = f"{folder.rstrip('/')}/numbered"
-        keyed.withColumn("place", F.monotonically_increasing_id()).write.parquet(numbered)
-        keyed = spark.read.parquet(numbered)
-        measured = materialize(_measure(keyed, vocabulary, end_id))
-        sizes = measured.where("has_id is not null").select(*order, "n")
-
-    counts = measured.select(F.explode("counts").alias("c")).groupBy("c.token").agg(F.sum("c.seen").alias("seen"))
-    ranked = counts.orderBy(F.desc("seen"), "token").collect()  # no more than the vocabulary has
+    scratch = shared_folder(spark, "tokens")
+    _tokenised(keyed, vocabulary, end_id).write.option("compression", "zstd").parquet(scratch)
+    tokens = spark.read.parquet(scratch)
+
+    ranked = _counts(tokens).orderBy(F.desc("seen"), "token").collect()  # no more than the vocabulary has
     table = [(rank, r["token"], r["seen"]) for rank, r in enumerate(ranked)]
     spark.createDataFrame(table, "rank int, token int, seen long").coalesce(1).write.parquet(f"{folder.rstrip('/')}/ranks")
     total = sum(r["seen"] for r in ranked)
@@ -267,9 +329,10 @@ def write_token_ids(
     # One job settles the parts: where each begins, in documents and in ids.
     wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * file_ids)))
     parts = (
-        sizes.repartitionByRange(min(wanted, MAX_PARTS), *order)
+        tokens.select(*_ORDER, "n")
+        .repartitionByRange(min(wanted, MAX_PARTS), *_ORDER)
         .groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.min(F.struct(*order)).alias("first"), F.sum("n").alias("n"))
+        .agg(F.min(F.struct(*_ORDER)).alias("first"), F.sum("n").alias("n"))
         .collect()
     )
     parts = sorted((tuple(p["first"]), p["n"]) for p in parts)
@@ -277,20 +340,15 @@ def write_token_ids(
     starts = [0]
     for _, n in parts:
         starts.append(starts[-1] + n)
-    tail = b"" if end_id is None else np.uint32(end_id).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(vocabulary)
-        for batch in slices(batches, "text", _TEXT_BYTES):
-            keys = [batch.column(c).to_pylist() for c in order]
+        for batch in slices(batches, "ids", _OUT_BYTES):
+            keys = [batch.column(c).to_pylist() for c in _ORDER]
             dealt = [bisect_right(bounds, key) - 1 for key in zip(*keys, strict=True)]
-            coded = []
-            for ids in tokens.encode(batch.column("text").to_pylist()):
-                own = np.frombuffer(ids + tail, "<u4")
-                coded.append((len(own), *code(rank_of[own])))
-            columns = [pa.array([c[k] for c in coded], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))]
-            kept = [batch.column(c) for c in order]
-            yield pa.RecordBatch.from_arrays([pa.array(dealt, pa.int32()), *kept, *columns], names=["part", *order, "n", "control", "data"])
+            coded = [code(rank_of[np.frombuffer(ids, "<u4")]) for ids in batch.column("ids").to_pylist()]
+            columns = [pa.array([c[k] for c in coded], pa.binary()) for k in range(2)]
+            kept = [batch.column(c) for c in (*_ORDER, "n")]
+            yield pa.RecordBatch.from_arrays([pa.array(dealt, pa.int32()), *kept, *columns], names=["part", *_ORDER, "n", "control", "data"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int | None, int, bytes, bytes]] = []
@@ -306,17 +364,17 @@ def write_token_ids(
                     held, kept = [], 0
                 if own != part:
                     if part >= 0 and at != starts[part + 1]:
-                        raise ValueError("the table has changed between two passes")
+                        raise ValueError("a part does not hold the ids that were counted for it")
                     part, at = own, starts[own]
                 held.append((ident if has_id else None, n, control, data))
                 at, kept = at + n, kept + n
         if held:
             yield file()
         if part >= 0 and at != starts[part + 1]:
-            raise ValueError("the table has changed between two passes")
+            raise ValueError("a part does not hold the ids that were counted for it")
 
-    codes = keyed.mapInArrow(encode, "part int, has_id boolean, id long, tie long, place long, n long, control binary, data binary")
-    dealt = codes.repartitionById(max(1, len(parts)), F.col("part")).sortWithinPartitions("part", *order)
+    codes = tokens.mapInArrow(encode, f"part int, {_KEYS}, control binary, data binary")
+    dealt = codes.repartitionById(max(1, len(parts)), F.col("part")).sortWithinPartitions("part", *_ORDER)
     files = dealt.mapInArrow(cut, "value binary").select(F.col("value").cast("string"))
     # The text writer puts bytes wherever Spark can write, and commits whole files only.
     files.write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(f"{folder.rstrip('/')}/ids")
