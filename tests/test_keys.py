@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchstone.operators import (
     UpsertError,
@@ -11,6 +12,7 @@ from touchstone.operators import (
     unreferenced,
     unresolved,
     upsert,
+    upserted,
 )
 
 
@@ -96,3 +98,52 @@ def test_upsert_rejects_bad_input(spark):
         upsert(good.where("k > 1"), "never_made", ["k"])
     with pytest.raises(UpsertError):
         upsert(good, "never_made", ["z"])
+
+
+def test_upsert_rewrites_only_the_buckets_it_touches(spark):
+    table = f"bucketed_{random.randrange(10**9)}"
+    frame = spark.createDataFrame([(i, f"v{i}") for i in range(200)], "k long, v string")
+    assert upsert(frame, table, ["k"], buckets=32).write_action == "created"
+
+    def files():
+        return {r.f: r.b for r in spark.table(table).select(F.input_file_name().alias("f"), F.col("_bucket").alias("b")).distinct().collect()}
+
+    before = files()
+    assert len(set(before.values())) == 32
+    # Keys of another type fall into the same buckets.
+    change = spark.createDataFrame([(3, "new"), (1000, "more")], "k int, v string")
+    assert upsert(change, table, ["k"]).write_action == "merged"
+    after = files()
+    touched = {r["_bucket"] for r in spark.table(table).where("k IN (3, 1000)").collect()}
+    assert {f for f in before if before[f] not in touched} <= set(after)
+    assert not {f for f in before if before[f] in touched} & set(after)
+    got = {r.k: r.v for r in upserted(spark, table).collect()}
+    assert got == {i: f"v{i}" for i in range(200)} | {3: "new", 1000: "more"}
+    assert upserted(spark, table).columns == ["k", "v"]
+    with pytest.raises(UpsertError, match="keys of"):
+        upsert(frame, table, ["v"])
+    with pytest.raises(UpsertError, match="several source rows"):
+        upsert(spark.createDataFrame([(3, "a"), (3, "b")], "k long, v string"), table, ["k"])
+    with pytest.raises(UpsertError):
+        upsert(frame, "never_made", ["k"], buckets=5000)
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_failing_write_leaves_the_table_as_it_was(spark):
+    table = f"switched_{random.randrange(10**9)}"
+    old = [(1, "a"), (2, "b")]
+    upsert(spark.createDataFrame(old, "k long, v string"), table, ["k"])
+    broken = spark.createDataFrame([(2, "B"), (3, "C")], "k long, v string")
+    broken = broken.withColumn("v", F.when(F.col("k") == 3, F.raise_error(F.lit("no value"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="no value"):
+        upsert(broken, table, ["k"], settled=True)
+    spark.catalog.refreshTable(table)
+    assert {tuple(r) for r in spark.table(table).collect()} == set(old)
+    # A reader that began before the switch keeps its files.
+    reader = spark.read.format("parquet").load([r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r["col_name"] == "Location"][0])
+    for value in ("B", "BB"):
+        upsert(spark.createDataFrame([(2, value), (3, "c")], "k long, v string"), table, ["k"])
+        assert {tuple(r) for r in spark.table(table).collect()} == {(1, "a"), (2, value), (3, "c")}
+        if value == "B":
+            assert reader.count() == 2
+    spark.sql(f"DROP TABLE {table}")

@@ -32,6 +32,7 @@ from touchstone.sources import (
     write_findings,
     write_quarantine,
 )
+from touchstone.operators.scan import running_before
 from touchstone.sources.landing import with_row_index
 
 DAY = "2026-08-03"
@@ -114,6 +115,34 @@ def test_row_index_follows_file_order_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_numbering_ten_thousand_files(spark):
+    rows = [(f"f{(i * 7919) % 10_000:05d}", 1 + i % 5) for i in range(10_000)]
+    files = spark.createDataFrame(rows, "_file string, _rows long").repartition(6)
+    summed = running_before(files, ["_file"], "_rows", "_base")
+    base, expected = 0, {}
+    for name, size in sorted(rows):
+        expected[name] = base
+        base += size
+    assert {r["_file"]: r["_base"] for r in summed.collect()} == expected
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert running_before(files.limit(0), ["_file"], "_rows", "_base").isEmpty()
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path, monkeypatch):
+    paths = store(tmp_path / "src", clean())
+    (tmp_path / "many").mkdir()
+    for i in range(40):
+        with open(tmp_path / "many" / f"p{i:02d}.csv", "w") as out:
+            out.write("region_id,region_code,region_name\n" + "".join(f"{i}-{k},c,n\n" for k in range(i)))
+    result = land(spark, OPERATIONS, "regions", str(tmp_path / "many"), DAY, "r1", root=str(tmp_path / "lake"))
+    landed = spark.read.parquet(result.destination_path)
+    assert result.row_count == sum(range(40)) == landed.count()
+    got = [r["region_id"] for r in landed.orderBy("_row_index").collect()]
+    assert got == [f"{i}-{k}" for i in range(40) for k in range(i)]
+    assert paths
+
+
 def test_checksums(spark, tmp_path):
     paths = store(tmp_path / "src", clean())
     want = {p.split("/")[-1]: hashlib.sha256(open(p, "rb").read()).hexdigest() for p in paths.values()}

@@ -7,6 +7,7 @@ from touchstone.operators import (
     chains,
     closed_predecessors,
     cycle_members,
+    looping_roots,
     without_successor,
 )
 
@@ -101,3 +102,50 @@ def test_chain_of_many_links(spark):
     rows = [(i, str(i), str(i - 1) if i else "", "Rescheduled", "t") for i in range(37)]
     got = chains(spark.createDataFrame(rows, SCHEMA), "id", "pred", "status", "Rescheduled", "i").collect()
     assert sorted((r.root, r.depth, int(r.node)) for r in got) == [("0", i, i) for i in range(37)]
+
+
+def walked(rows):
+    """(root, depth, node, in_loop) by walking from every root until a member comes again."""
+    after = {}
+    for i, node, pred, _, _ in rows:
+        if pred and i >= after.get(pred, (-1,))[0]:
+            after[pred] = (i, node)
+    step = {pred: node for pred, (_, node) in after.items() if node is not None}
+    out = set()
+    for root in {r[1] for r in rows if r[3] == "Rescheduled"} - set(step.values()):
+        seen = [root]
+        while seen[-1] in step and step[seen[-1]] not in seen:
+            seen.append(step[seen[-1]])
+        entry = seen.index(step[seen[-1]]) if seen[-1] in step else len(seen)
+        out |= {(root, k, node, k >= entry) for k, node in enumerate(seen)}
+    return out
+
+
+def test_loop_at_the_end_of_a_chain(spark):
+    # 2 -> 3 -> 1 -> 0 -> 3: all four belong to the chain of 2.
+    rows = [(i, a, b, "Rescheduled", "t") for i, (a, b) in enumerate([("3", "0"), ("0", "1"), ("3", "2"), ("1", "3"), ("2", "")])]
+    found = chains(spark.createDataFrame(rows, SCHEMA), "id", "pred", "status", "Rescheduled", "i")
+    assert {tuple(r) for r in found.collect()} == {("2", 0, "2", False), ("2", 1, "3", True), ("2", 2, "1", True), ("2", 3, "0", True)} == walked(rows)
+    assert [tuple(r) for r in looping_roots(found).collect()] == [("2", 3, 1)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_chains_with_tails_loops_and_repeated_ids(spark, seed):
+    rng = random.Random(seed)
+    ids = [str(i) for i in range(30)]
+    rows = []
+    for i in range(55):  # some ids stand on several rows, so nodes have several predecessors
+        node = rng.choice(ids)
+        pred = rng.choice(["", None]) if rng.random() < 0.2 else rng.choice(ids)
+        rows.append((i, node, pred, rng.choice(["Rescheduled", "Rescheduled", "Scheduled"]), "t"))
+    got = [tuple(r) for r in chains(spark.createDataFrame(rows, SCHEMA), "id", "pred", "status", "Rescheduled", "i").collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == walked(rows)
+
+
+def test_many_tails_into_a_long_loop(spark):
+    rows = [(i, str(i), str((i - 1) % 300), "Rescheduled", "t") for i in range(300)]
+    rows += [(1000 + i, str(i), f"t{i}", "Scheduled", "t") for i in range(0, 300, 100)]
+    rows += [(2000 + i, f"t{i}", "", "Rescheduled", "t") for i in range(0, 300, 100)]
+    got = [tuple(r) for r in chains(spark.createDataFrame(rows, SCHEMA), "id", "pred", "status", "Rescheduled", "i").collect()]
+    assert len(got) == 3 * 301 and set(got) == walked(rows)

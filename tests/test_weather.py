@@ -128,6 +128,52 @@ def test_typed_rows(spark, tmp_path):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_whole_numbers_of_any_size(spark, tmp_path):
+    big = 2**31 + 5
+    rows = flatten(read_weather(spark, store(tmp_path / "w", [
+        record(attempt_count=big, payload__hourly__weather_code=[big, -big, 2**62]),
+        record(pipeline_run_id="run-2", payload__hourly__weather_code=[big + 0.5, f" {big}", None], http_status_code=str(big)),
+    ]))).rows
+    got = {(r.pipeline_run_id, r.forecast_hour_index): r for r in rows.collect()}
+    assert [got["run-1", i].weather_code for i in range(3)] == [big, -big, 2**62]
+    assert [got["run-2", i].weather_code for i in range(3)] == [big, big, None]
+    assert got["run-1", 0].attempt_count == got["run-2", 0].http_status_code == big
+    too_big = flatten(read_weather(spark, store(tmp_path / "x", [record(payload__hourly__weather_code=[1, 2**70, 3])])), "quarantine")
+    assert too_big.rows.isEmpty() and "payload.hourly.weather_code[1]" in too_big.rejected.first()["reason"]
+
+
+def test_records_are_judged_without_a_shuffle(spark, tmp_path):
+    several = [record(), record(payload__hourly__weather_code=[0, "x", True], http_status_code="ok"), record(location_id=...)]
+    split = flatten(read_weather(spark, store(tmp_path / "w", several)), "quarantine")
+    for frame in (split.rows, split.rejected):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+    assert split.rows.count() == 3
+    reasons = sorted((number(r), r.reason) for r in split.rejected.collect())
+    assert reasons == [
+        (1, "'http_status_code' could not be converted to integer: \"ok\"."),
+        (1, "'payload.hourly.weather_code[1]' could not be converted to integer: \"x\"."),
+        (1, "'payload.hourly.weather_code[2]' cannot be a Boolean value."),
+        (2, "Bronze record is missing required top-level fields: ['location_id']"),
+    ]
+
+
+def test_several_records_in_a_file(spark, tmp_path):
+    good, bad = [record(pipeline_run_id=f"run-{i}") for i in range(2)], record(http_status_code="ok")
+    folder = tmp_path / "w"
+    folder.mkdir()
+    (folder / "array.json").write_text(json.dumps([good[0], bad, good[1]], indent=1))
+    (folder / "lines.json").write_text("\n".join([json.dumps(good[0]), "{broken", "", json.dumps(good[1]) + "\r", ""]))
+    (folder / "one.json").write_text(json.dumps(good[0], indent=2))
+    (folder / "torn.json").write_text(json.dumps(good[0], indent=2)[:-40])
+    (folder / "empty.json").write_text(" \n")
+    (folder / "nothing.json").write_text("[]")
+    split = flatten(read_weather(spark, str(folder)), "quarantine")
+    assert {r.pipeline_run_id: r["count"] for r in split.rows.groupBy("pipeline_run_id").count().collect()} == {"run-0": 9, "run-1": 6}
+    rejected = {(r._source_file.split("/")[-1], r._source_place) for r in split.rejected.collect()}
+    assert rejected == {("array.json", 1), ("lines.json", 1), ("torn.json", 0), ("empty.json", 0), ("nothing.json", 0)}
+
+
 def test_read_errors(spark, tmp_path):
     for bad in (None, "  ", str(tmp_path / "nowhere")):
         with pytest.raises(WeatherReadError):

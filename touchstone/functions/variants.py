@@ -58,19 +58,18 @@ def text(value: Column) -> Column:
 
 
 def strict_int(value: Column, name: Column | None = None) -> Column:
-    """Whole number: numbers are cut towards zero, text must be an integer, no booleans.
+    """Whole number (bigint): numbers are cut towards zero, text must be an integer, no booleans.
 
     ``name`` is the type name where the caller has it in a column already.
     """
     name = kind(value) if name is None else name
     written = F.try_variant_get(value, "$", "string")
-    whole = (
+    return (
         F.when(name == "BIGINT", F.try_variant_get(value, "$", "bigint"))
         .when(name.startswith("DECIMAL"), F.try_variant_get(value, "$", "decimal(38,10)").try_cast("bigint"))
         .when(name.isin("DOUBLE", "FLOAT"), F.try_variant_get(value, "$", "double").try_cast("bigint"))
         .when((name == "STRING") & written.rlike(_INTEGER), F.trim(written).try_cast("bigint"))
     )
-    return whole.try_cast("int")
 
 
 def strict_float(value: Column, name: Column | None = None) -> Column:

@@ -19,10 +19,11 @@ from touchstone.operators.lineage import (
     chains,
     closed_predecessors,
     cycle_members,
+    looping_roots,
     without_successor,
 )
 from touchstone.operators.scan import OrderedScan
-from touchstone.operators.upsert import UpsertError, UpsertResult, merged, upsert
+from touchstone.operators.upsert import UpsertError, UpsertResult, merged, upsert, upserted
 
 __all__ = [
     "OrderedScan",
@@ -37,6 +38,7 @@ __all__ = [
     "cycle_members",
     "duplicates",
     "lookup",
+    "looping_roots",
     "merged",
     "multiset_difference",
     "null_safe",
@@ -46,5 +48,6 @@ __all__ = [
     "unreferenced",
     "unresolved",
     "upsert",
+    "upserted",
     "without_successor",
 ]

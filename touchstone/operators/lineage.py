@@ -79,31 +79,56 @@ def closed_predecessors(
     )
 
 
-def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, order: str) -> DataFrame:
-    """Members of every chain that starts at an un-succeeded-to row of the status.
+def loop_places(steps: DataFrame) -> DataFrame:
+    """Where each node of a loop stands: ``member``, ``leader``, ``ahead``.
 
-    Returns ``root``, ``depth`` (0 at the root) and ``node``, one row per
-    member, so a chain of any length stays spread out.  Of several rows naming
-    one predecessor the last by ``order`` is its successor.
+    ``steps(from, node)`` must consist of closed loops.  The leader of a loop is
+    its smallest member; it lies ``ahead`` steps from the member.  Each round
+    looks twice as far ahead, and once a round changes nothing every member has
+    seen its whole loop.
+    """
+    places = materialize(
+        steps.select(
+            F.col("from").alias("member"), F.col("node").alias("next"),
+            F.col("from").alias("leader"), F.lit(0).cast("long").alias("ahead"),
+        )
+    )
+    span, moved = 1, True
+    while moved:
+        beyond = places.select(
+            F.col("member").alias("next"), F.col("next").alias("_next"),
+            F.col("leader").alias("_leader"), (F.col("ahead") + span).alias("_ahead"),
+        )
+        closer = F.col("_leader") < F.col("leader")
+        places = materialize(
+            places.join(beyond, "next").select(
+                "member",
+                F.col("_next").alias("next"),
+                F.least("leader", "_leader").alias("leader"),
+                F.when(closer, F.col("_ahead")).otherwise(F.col("ahead")).alias("ahead"),
+                closer.alias("_moved"),
+            )
+        )
+        span, moved = 2 * span, not places.where("_moved").isEmpty()
+    return places.select("member", "leader", "ahead")
+
+
+def _descents(links: DataFrame, tails: DataFrame) -> DataFrame:
+    """``(node, top, depth)``: the ends without a predecessor above every node of ``tails``.
+
+    Pointers run back towards the top and are settled there.  At one distance a
+    node is above one node only, so a round never holds more rows than there
+    are links; without loops the distances end.
     """
-    linked = rows.where(present(F.col(parent)))
-    links = materialize(
-        linked.groupBy(F.col(parent).alias("from")).agg(F.max_by(node, order).alias("node"))
-    )
-    roots = unreferenced(rows.where(F.col(status) == value), node, links, "node").select(
-        F.col(node).alias("root")
-    )
-    # Pointers back towards the root; one is settled when its top has no predecessor.
     inner = links.select(F.col("node").alias("top")).distinct().withColumn("_inner", F.lit(True))
-    pointers = links.select("node", F.col("from").alias("top"), F.lit(1).cast("long").alias("depth"))
+    pointers = tails.select("node", F.col("from").alias("top"), F.lit(1).cast("long").alias("depth"))
     pointers = materialize(
         pointers.join(inner, "top", "left").select(
             "node", "top", "depth", F.col("_inner").isNull().alias("settled")
         )
     )
     settled, moving = pointers.where("settled"), pointers.where("NOT settled")
-    left = moving.count()
-    while left:
+    while not moving.isEmpty():
         ahead = settled.unionByName(moving).select(
             F.col("node").alias("top"),
             F.col("top").alias("next_top"),
@@ -120,13 +145,59 @@ def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, ord
         )
         settled = settled.unionByName(joined.where("settled"))
         moving = joined.where("NOT settled")
-        before, left = left, moving.count()
-        # Only members of a closed loop never settle; they hang from no root.
-        if left == before:
-            break
-    reached = settled
-    members = reached.join(roots, reached["top"] == roots["root"]).select("root", "depth", "node")
-    return members.unionByName(roots.select("root", F.lit(0).cast("long").alias("depth"), F.col("root").alias("node")))
+    return settled.select("node", "top", "depth")
+
+
+def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, order: str) -> DataFrame:
+    """Members of every chain that starts at an un-succeeded-to row of the status.
+
+    Returns ``root``, ``depth`` (0 at the root), ``node`` and ``in_loop``, one
+    row per member, so a chain of any length stays spread out.  Of several rows
+    naming one predecessor the last by ``order`` is its successor.
+
+    A chain may run into a loop.  The links then form a map whose loops are taken
+    out first: what is left are tails, which end at the node where they enter a
+    loop, and a loop is only ever looked at as a list of places.  A chain that
+    enters it goes round once, so each member that can be reached is returned
+    once, at its distance from the root, with ``in_loop`` true on the loop.
+    """
+    linked = rows.where(present(F.col(parent)))
+    links = materialize(
+        linked.groupBy(F.col(parent).alias("from")).agg(F.max_by(node, order).alias("node")).where("node IS NOT NULL")
+    )
+    roots = materialize(
+        unreferenced(rows.where(F.col(status) == value), node, links, "node")
+        .select(F.col(node).alias("root"))
+        .distinct()
+    )
+    loops = cycle_members(links, "from", "node").select(F.col("node").alias("from"))
+    places = loop_places(links.join(loops, "from", "left_semi"))
+    tails = links.join(loops, "from", "left_anti")
+    reached = _descents(links, tails).withColumnRenamed("top", "root").join(roots, "root", "left_semi")
+    standing = places.select(F.col("member").alias("node"), "leader", F.col("ahead").alias("_ahead"))
+    reached = materialize(reached.join(standing, "node", "left"))
+    # Once round from the entry: the rest of its loop follows, in steps from the entry.
+    entered = reached.where("leader IS NOT NULL").select("root", F.col("node").alias("entry"), "depth", "leader", "_ahead")
+    lengths = places.groupBy("leader").agg(F.count(F.lit(1)).alias("_length"))
+    around = (
+        entered.join(lengths, "leader").join(places, "leader").where("member <> entry")
+        .select(
+            "root", (F.col("depth") + F.pmod(F.col("_ahead") - F.col("ahead"), F.col("_length"))).alias("depth"),
+            F.col("member").alias("node"), F.lit(True).alias("in_loop"),
+        )
+    )
+    return (
+        reached.select("root", "depth", "node", F.col("leader").isNotNull().alias("in_loop"))
+        .unionByName(around)
+        .unionByName(
+            roots.select("root", F.lit(0).cast("long").alias("depth"), F.col("root").alias("node"), F.lit(False).alias("in_loop"))
+        )
+    )
+
+
+def looping_roots(members: DataFrame) -> DataFrame:
+    """Roots of ``chains`` that end in a loop, with its length and the depth of its entry."""
+    return members.where("in_loop").groupBy("root").agg(F.count(F.lit(1)).alias("loop_length"), F.min("depth").alias("entry_depth"))
 
 
 def chain_summary(members: DataFrame, moments: DataFrame, node: str, moment: str) -> DataFrame:

@@ -192,3 +192,23 @@ class OrderedScan:
         self.with_columns({name: best})
         self._each(lambda rows: rows.drop(lead, past, turn, rival, mark))
         return self
+
+
+def running_before(rows: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over all rows before each in ``order``.
+
+    Rows are cut into range partitions, each of which sums its own; what the
+    partitions before it hold is carried in, one number per partition.  No task
+    sees more than one partition.  ``order`` must tell all rows apart.
+    """
+    ranged = rows.repartitionByRange(*order).withColumn(_PIECE, F.spark_partition_id())
+    ranged = materialize(ranged)
+    totals = ranged.groupBy(_PIECE).agg(F.sum(value).alias("total")).collect()  # a row per partition
+    carried, held = 0, []
+    for row in sorted(totals):
+        held.append((row[_PIECE], carried))
+        carried += row["total"] or 0
+    bases = F.broadcast(rows.sparkSession.createDataFrame(held, f"{_PIECE} int, _carried long"))
+    inside = Window.partitionBy(_PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return summed.join(bases, _PIECE).withColumn(name, F.col(name) + F.col("_carried")).drop("_carried", _PIECE)

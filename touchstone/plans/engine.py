@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -11,10 +11,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchstone.functions import missing, present
+from touchstone.functions import missing, present, quoted
 from touchstone.operators.keys import lookup
-from touchstone.plans.rules import RECORD, ROW, Check, Entity, Link, Pack
-from touchstone.session import materialize
+from touchstone.plans.rules import RECORD, ROW, Check, Entity, Link, Pack, Unique
+from touchstone.session import entity_jobs, materialize
 
 
 #: Columns that landing adds; everything else is source data.
@@ -69,18 +69,73 @@ def row_findings(rows: DataFrame, checks: list[Check]) -> DataFrame:
     )
 
 
+def duplicate_findings(rows: DataFrame, rules: Sequence[Unique]) -> DataFrame:
+    """Findings of all unique keys of an entity, from one grouping.
+
+    Each row gives a small mark per key, the number of the key and a hash of its
+    value.  Marks that are alone are done with; the values themselves are only
+    compared, exactly, where hashes repeat.
+    """
+
+    def mark(number: int, rule: Unique) -> Column:
+        if rule.null_safe:
+            value = F.to_json(F.struct(*rule.keys), {"ignoreNullFields": "false"})
+            usable = F.lit(True)
+        else:
+            value = F.concat_ws("\x1f", *[F.col(k).cast("string") for k in rule.keys])
+            usable = reduce(Column.__and__, (present(F.col(k).cast("string")) for k in rule.keys))
+        return F.when(usable, F.struct(F.lit(number).alias("rule"), F.xxhash64(value).alias("hash"), value.alias("value")))
+
+    every = F.inline(F.array_compact(F.array(*[mark(i, rule) for i, rule in enumerate(rules)])))
+    marks = rows.select(ROW, RECORD, every).withColumn("_spread", F.hash("rule", "hash"))
+
+    def alike(frame: DataFrame, by: str) -> DataFrame:
+        repeated = (
+            frame.groupBy(F.col("rule").alias("_rule"), F.col(by).alias("_by")).count().where("count > 1")
+            .select("_rule", "_by", F.hash("_rule", F.xxhash64("_by") if by == "value" else F.col("_by")).alias("_same"))
+        )
+        same = (frame["rule"] == repeated["_rule"]) & (frame[by] == repeated["_by"]) & (frame["_spread"] == repeated["_same"])
+        return frame.join(repeated, same, "left_semi")
+
+    found = alike(alike(marks, "hash"), "value")
+
+    def entries(rule: Unique) -> Column:
+        def text(message: str) -> Column:
+            return F.concat(F.lit(message), quoted(F.col("value"))) if rule.shown else F.lit(message)
+
+        return F.array(*[F.struct(F.lit(r).alias("rule_id"), text(m).alias("message")) for r, m in rule.entries])
+
+    hits = F.when(F.col("rule") == 0, entries(rules[0]))
+    for number, rule in enumerate(rules[1:], 1):
+        hits = hits.when(F.col("rule") == number, entries(rule))
+    return found.select(ROW, RECORD, F.inline(hits)).withColumn("occurrences", F.lit(1).cast("long"))
+
+
+def set_rows(rows: DataFrame, entity: Entity, links: Sequence[Link]) -> DataFrame:
+    """What unique keys, set rules and links into the entity itself read, parsed and kept once."""
+    own = [c for link in links if link.target == entity.name for c in (link.target_field, *link.attributes.values())]
+    columns = dict.fromkeys([*(k for rule in entity.unique for k in rule.keys), *entity.set_columns, *own])
+    return materialize(rows.select(ROW, RECORD, *[c for c in columns if c not in (ROW, RECORD)]))
+
+
 def entity_findings(tables: Mapping[str, DataFrame], pack: Pack, name: str) -> DataFrame:
-    """Findings of one entity: row checks, links and set rules."""
-    entity = pack.entity(name)
+    """Findings of one entity: row checks, links, unique keys and set rules.
+
+    The entity is read twice: once whole, by all row checks and links in one
+    pass, and once narrow, for whatever compares rows with each other.
+    """
+    entity, links = pack.entity(name), pack.links_of(name)
     rows = prepared(tables[name], entity)
+    compares = entity.unique or entity.set_rules
+    narrow = set_rows(rows, entity, links) if compares else rows
     linked, checks = rows, list(entity.checks())
-    for link in pack.links_of(name):
+    for link in links:
         if link.target not in tables:
             raise ValueError(f"dataset is missing required entities: {link.target}")
         linked = lookup(
             linked,
             link.field,
-            tables[link.target],
+            narrow if link.target == name and compares else tables[link.target],
             link.target_field,
             link.attributes,
             found=link.found,
@@ -88,7 +143,9 @@ def entity_findings(tables: Mapping[str, DataFrame], pack: Pack, name: str) -> D
         )
         checks.append(_link_check(link))
     parts = [row_findings(linked, checks)] if checks else []
-    parts += [rule(rows, tables) for rule in entity.set_rules]
+    if entity.unique:
+        parts.append(duplicate_findings(narrow, entity.unique))
+    parts += [rule(narrow, tables) for rule in entity.set_rules]
     return _union(parts).select(F.lit(name).alias("entity"), *parts[0].columns)
 
 
@@ -103,6 +160,8 @@ class Result:
     identifiers: dict[str, str]
     findings: DataFrame
     duration_seconds: float
+    #: Seconds of each entity's own jobs; entities overlap, so these don't add up.
+    durations: dict[str, float]
 
     def _of(self, entity: str) -> DataFrame:
         return self.findings.where(F.col("entity") == entity)
@@ -166,10 +225,11 @@ class Result:
         return _union(parts)
 
     def summary(self) -> DataFrame:
-        """Counters and status per entity; an entity without rows succeeded."""
+        """Counters, status and duration per entity; an entity without rows succeeded."""
+        times = F.create_map(*[F.lit(x) for pair in self.durations.items() for x in pair])
         return entity_summary(
             {name: self.tables[name] for name in self.entities}, self.findings
-        ).withColumn("duration_seconds", F.lit(self.duration_seconds))
+        ).withColumn("duration_seconds", times[F.col("entity")])
 
     def run_summary(self) -> DataFrame:
         return run_summary(self.summary()).withColumn(
@@ -261,7 +321,8 @@ def validate(
 ) -> Result:
     """Run every rule of the scope over the tables.
 
-    Each table carries ``_row_index``.  ``keep`` checkpoints the findings once,
+    Each table carries ``_row_index``.  Entities are judged a few at a time, each
+    under a job tag of its own.  ``keep`` checkpoints the findings once,
     because accepted rows, quarantine, evidence and summaries all read them.
     """
     entities = pack.scopes[scope]
@@ -272,26 +333,36 @@ def validate(
         raise ValueError("run_id must be a non-empty string")
     identifiers = dict(source_identifiers or {})
     began = time.monotonic()
-    found = _union([entity_findings(tables, pack, name) for name in entities])
     names = [part for e in entities for part in (F.lit(e), F.lit(identifiers.get(e, e)))]
     moment = validation_timestamp or datetime.now(timezone.utc)
-    result = enrich(found, pack).select(
-        F.lit(run_id).alias("run_id"),
-        "entity",
-        F.col(RECORD).alias("record_id"),
-        "rule_id",
-        "error_code",
-        "severity",
-        "silver_action",
-        "outcome",
-        "message",
-        F.create_map(*names)[F.col("entity")].alias("source_identifier"),
-        F.lit(moment).cast("timestamp").alias("validation_timestamp"),
-        "occurrences",
-        ROW,
-    )
-    if keep:
-        result = materialize(result)
+
+    def judge(name: str) -> DataFrame:
+        result = enrich(entity_findings(tables, pack, name), pack).select(
+            F.lit(run_id).alias("run_id"),
+            "entity",
+            F.col(RECORD).alias("record_id"),
+            "rule_id",
+            "error_code",
+            "severity",
+            "silver_action",
+            "outcome",
+            "message",
+            F.create_map(*names)[F.col("entity")].alias("source_identifier"),
+            F.lit(moment).cast("timestamp").alias("validation_timestamp"),
+            "occurrences",
+            ROW,
+        )
+        return materialize(result) if keep else result
+
+    spark = next(iter(tables.values())).sparkSession
+    judged = entity_jobs(spark, entities, judge)
     return Result(
-        run_id, pack, entities, dict(tables), identifiers, result, time.monotonic() - began
+        run_id,
+        pack,
+        entities,
+        dict(tables),
+        identifiers,
+        _union([findings for findings, _ in judged.values()]),
+        time.monotonic() - began,
+        {name: seconds for name, (_, seconds) in judged.items()},
     )

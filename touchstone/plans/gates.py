@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from touchstone.functions import iso_date, missing, one_of, present
 from touchstone.functions.values import DAY_US
-from touchstone.operators.keys import duplicates, duplicates_by, lookup
+from touchstone.operators.keys import lookup
 from touchstone.operators.lineage import cycle_members, without_successor
 from touchstone.plans import operations as ops
 from touchstone.plans.engine import entity_findings, prepared
-from touchstone.plans.rules import ROW, Check, Entity, Pack, flagged
+from touchstone.plans.rules import ROW, Check, Entity, Pack, Unique, flagged
+from touchstone.session import entity_jobs, materialize
 
 # Gate-only domains.
 PROJECT_STATUSES = ("Planned", "Active", "Closed", "Cancelled")
@@ -40,17 +41,15 @@ def _reject(message: str, fails: Column) -> Check:
     return Check(("REJECT",), message, fails)
 
 
-def _keyed(entity: Entity, *, code: str | None = None, checks=tuple, set_rules=()) -> Entity:
+def _keyed(entity: Entity, *, code: str | None = None, checks=tuple, set_rules=(), unique=()) -> Entity:
     keys = [entity.primary_key, *([code] if code else [])]
 
     def all_checks() -> list[Check]:
         required = [_reject(f"{entity.name}.{k} is required", missing(F.col(k))) for k in keys]
         return [*required, *checks()]
 
-    def unique(key: str):
-        return lambda rows, _t: flagged(duplicates(rows, key), ["REJECT"], f"duplicate {entity.name}.{key}")
-
-    return replace(entity, checks=all_checks, set_rules=(*map(unique, keys), *set_rules))
+    single = tuple(Unique((k,), (("REJECT", f"duplicate {entity.name}.{k}"),)) for k in keys)
+    return replace(entity, checks=all_checks, set_rules=set_rules, unique=(*single, *unique))
 
 
 def _project_checks() -> list[Check]:
@@ -137,11 +136,12 @@ def _threshold_checks() -> list[Check]:
     ]
 
 
-def _threshold_scopes(rows: DataFrame, _tables: dict[str, DataFrame]) -> DataFrame:
-    scope = ["activity_id", "metric_code", "severity", "equipment_type_id"]
-    hit = duplicates_by(rows, scope)
-    return flagged(hit, ["REJECT"], "overlapping/ambiguous active threshold")
-
+#: Whatever is null in a scope is a value of it.
+_THRESHOLD_SCOPE = Unique(
+    ("activity_id", "metric_code", "severity", "equipment_type_id"),
+    (("REJECT", "overlapping/ambiguous active threshold"),),
+    null_safe=True,
+)
 
 _CODES = {
     "regions": "region_code", "offices": "office_code", "employees": "employee_number",
@@ -160,14 +160,14 @@ _CHECKS = {
 _SETS = {
     "field_schedules": (_schedule_cycles, _schedule_open),
     "equipment_assignments": (_assignment_overlaps,),
-    "safety_thresholds": (_threshold_scopes,),
 }
+_UNIQUE = {"safety_thresholds": (_THRESHOLD_SCOPE,)}
 _ATTRIBUTES = {ops._FROM: {"_before_status": "status"}}
 
 GATES = Pack(
     [],
     [
-        _keyed(e, code=_CODES.get(name), checks=_CHECKS.get(name, tuple), set_rules=_SETS.get(name, ()))
+        _keyed(e, code=_CODES.get(name), checks=_CHECKS.get(name, tuple), set_rules=_SETS.get(name, ()), unique=_UNIQUE.get(name, ()))
         for name, e in ops.OPERATIONS.entities.items()
     ],
     [
@@ -199,12 +199,13 @@ def accepted_dataset(
     """Reasons to reject the dataset: ``entity, reason, failures``."""
     if set(tables) != set(GATES.entities):
         raise GateError("dataset must contain exactly the 12 approved entities")
-    parts = [
-        entity_findings(tables, GATES, name)
-        .groupBy("entity", F.col("message").alias("reason"))
-        .agg(F.sum("occurrences").alias("failures"))
-        for name in GATES.entities
-    ]
+
+    def reasons(name: str) -> DataFrame:
+        found = entity_findings(tables, GATES, name).groupBy("entity", F.col("message").alias("reason"))
+        return materialize(found.agg(F.sum("occurrences").alias("failures")))
+
+    spark = next(iter(tables.values())).sparkSession
+    parts = [found for found, _ in entity_jobs(spark, GATES.entities, reasons).values()]
     for name, wanted in (row_counts or {}).items():
         size = tables[name].agg(F.count(F.lit(1)).alias("failures")).where(F.col("failures") != wanted)
         parts.append(

@@ -13,14 +13,13 @@ from touchstone.functions import (
     missing,
     one_of,
     present,
-    quoted,
     within_tolerance,
 )
 from touchstone.functions.values import DAY_US, HOUR_US, TOLERANCE
 from touchstone.operators.intervals import adjacent, overlapping, period_conflicts
-from touchstone.operators.keys import duplicates, lookup
+from touchstone.operators.keys import lookup
 from touchstone.operators.lineage import closed_predecessors, cycle_members, without_successor
-from touchstone.plans.rules import ROW, Check, Entity, Link, Pack, Rule, flagged
+from touchstone.plans.rules import ROW, Check, Entity, Link, Pack, Rule, Unique, flagged
 
 # The approved domains.
 WEATHER_LOCATIONS = ("TX-DAL", "TX-HOU", "TX-AUS")
@@ -117,28 +116,11 @@ def _critical(entity: str, fields: str) -> list[Check]:
     ]
 
 
-def _unique(entity: str, key: str, rule_id: str | None = None):
+def _unique(entity: str, key: str, rule_id: str | None = None) -> Unique:
     """Duplicate keys: the entity's own rule where it has one, and the cross-entity one."""
-
-    def rule(rows: DataFrame, _tables: dict[str, DataFrame]) -> DataFrame:
-        repeated = duplicates(rows, key)
-        shown = F.concat(F.lit(f"{entity}.{key}: "), quoted(F.col(key)))
-        cross = F.struct(
-            F.lit("XEN-009").alias("rule_id"),
-            F.concat(F.lit("duplicate business key "), shown).alias("message"),
-        )
-        entries = [cross]
-        if rule_id:
-            entries.append(
-                F.struct(
-                    F.lit(rule_id).alias("rule_id"), F.concat(F.lit("duplicate "), shown).alias("message")
-                )
-            )
-        return repeated.select(
-            ROW, "_record_id", F.explode(F.array(*entries)).alias("_hit")
-        ).select(ROW, "_record_id", "_hit.rule_id", "_hit.message", F.lit(1).cast("long").alias("occurrences"))
-
-    return rule
+    cross = ("XEN-009", f"duplicate business key {entity}.{key}: ")
+    own = ((rule_id, f"duplicate {entity}.{key}: "),) if rule_id else ()
+    return Unique((key,), (cross, *own), shown=True)
 
 
 def _master(
@@ -151,6 +133,7 @@ def _master(
     label: tuple[str, str] | None = None,
     checks=tuple,
     set_rules=(),
+    set_columns=(),
 ) -> Entity:
     field, required_rule, duplicate_rule = code
 
@@ -167,7 +150,9 @@ def _master(
         key,
         all_checks,
         None,
-        (_unique(name, field, duplicate_rule), *set_rules),
+        set_rules,
+        (_unique(name, field, duplicate_rule),),
+        set_columns,
     )
 
 
@@ -528,6 +513,7 @@ ENTITIES = (
         ("employee_number", "EMP-001", "EMP-003"),
         "employee_id employee_number employee_name home_office_id employment_status",
         set_rules=(_terminated_leads,),
+        set_columns=("employee_id", "employment_status"),
     ),
     _master(
         "projects",
@@ -599,7 +585,9 @@ ENTITIES = (
         "field_schedule_id",
         _schedule_checks,
         _schedule_prepare,
-        (_unique("field_schedules", _ID), _schedule_closed, _schedule_open, _schedule_cycles),
+        (_schedule_closed, _schedule_open, _schedule_cycles),
+        (_unique("field_schedules", _ID),),
+        (_ID, _FROM, "status"),
     ),
     Entity(
         "equipment_assignments",
@@ -611,7 +599,9 @@ ENTITIES = (
         "assignment_id",
         _assignment_checks,
         _assignment_prepare,
-        (_unique("equipment_assignments", "assignment_id"), _assignment_overlaps, _assignment_adjacent),
+        (_assignment_overlaps, _assignment_adjacent),
+        (_unique("equipment_assignments", "assignment_id"),),
+        ("equipment_id", "assignment_end_timestamp", "_start", "_end"),
     ),
     Entity(
         "safety_thresholds",
@@ -627,7 +617,9 @@ ENTITIES = (
         "threshold_id",
         _threshold_checks,
         _threshold_prepare,
-        (_unique("safety_thresholds", "threshold_id"), _threshold_periods),
+        (_threshold_periods,),
+        (_unique("safety_thresholds", "threshold_id"),),
+        ("is_active", "activity_id", "equipment_type_id", "metric_code", "severity", "effective_end_date", "_from_day", "_to_day", *_PAYLOAD),
     ),
 )
 

@@ -70,13 +70,28 @@ Prepare = Callable[[DataFrame], DataFrame]
 SetRule = Callable[[DataFrame, dict[str, DataFrame]], DataFrame]
 
 
+@dataclass(frozen=True)
+class Unique:
+    """Columns whose values must not repeat; rows that share them are reported.
+
+    ``entries`` are pairs of a rule and its message; with ``shown`` the value
+    follows the message.  A missing key is no key, but with ``null_safe`` nulls
+    are values like others.
+    """
+
+    keys: tuple[str, ...]
+    entries: tuple[tuple[str, str], ...]
+    shown: bool = False
+    null_safe: bool = False
+
+
 @dataclass(frozen=True)
 class Entity:
-    """One table: its columns, key, row checks and set rules.
+    """One table: its columns, key, row checks, unique keys and set rules.
 
-    ``prepare`` adds parsed helper columns; a set rule gets the prepared rows
+    ``prepare`` adds parsed helper columns.  A set rule gets the prepared rows
     and all tables and returns ``_row_index, _record_id, rule_id, message,
-    occurrences``.
+    occurrences``; ``set_columns`` names the columns that set rules read.
     """
 
     name: str
@@ -86,6 +101,8 @@ class Entity:
     checks: Checks = tuple
     prepare: Prepare | None = None
     set_rules: tuple[SetRule, ...] = ()
+    unique: tuple[Unique, ...] = ()
+    set_columns: tuple[str, ...] = ()
 
 
 class Pack:

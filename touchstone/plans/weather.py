@@ -23,7 +23,7 @@ from touchstone.functions.variants import (
     text,
 )
 from touchstone.session import materialize
-from touchstone.sources.weather_json import RECORD_FILE
+from touchstone.sources.weather_json import RECORD_AT, RECORD_FILE
 
 # The fields of the contract.
 TOP_FIELDS = (
@@ -47,6 +47,29 @@ UNITS = {
     "wind_gust_unit": "wind_gusts_10m",
 }
 
+# The messages of the contract.
+SAYS = {
+    "top": "Bronze record is missing required top-level fields: ",
+    "object": "Expected '{}' to be an object, but received %s.",
+    "payload": "Bronze payload is missing required fields: ",
+    "hourly": "Bronze hourly payload is missing required fields: ",
+    "array": "Expected 'payload.hourly.{}' to be an array.",
+    "empty": "Bronze hourly arrays must contain at least one forecast record.",
+    "misaligned": "Bronze hourly arrays are misaligned. Expected %d elements based on 'time'; received %s.",
+    "declared": "'hourly_record_count' must be an integer.",
+    "count": "'hourly_record_count' does not match the actual hourly array length. Declared=%d, actual=%d.",
+    "units": "Bronze hourly units are missing required fields: ",
+    "days": "Bronze request parameters are missing required fields: ['forecast_days']",
+    "response": "API response payload must be a JSON object.",
+    "response_fields": "API response is missing required fields: ",
+    "response_hourly": "API response field 'hourly' is not an object.",
+    "response_times": "API response does not contain hourly timestamps.",
+    "response_variables": "API response is missing requested hourly variables: ",
+    "response_uneven": "Hourly variables do not align with the timestamp count: ",
+    "boolean": "' cannot be a Boolean value.",
+    "stamp": "' contains an invalid ISO-8601 timestamp.",
+}
+
 
 class WeatherError(ValueError):
     """Forecast records break the contract or hold values that cannot be converted."""
@@ -91,44 +114,34 @@ def _checked(records: DataFrame) -> DataFrame:
     declared = F.try_variant_get("_declared", "$", "bigint")
 
     def object_step(name: str, column: str) -> tuple[Column, Column]:
-        message = F.format_string(
-            f"Expected '{name}' to be an object, but received %s.", F.lower(kind(F.col(column)))
-        )
+        message = F.format_string(SAYS["object"].format(name), F.lower(kind(F.col(column))))
         return ~is_object(F.col(column)), message
 
     steps = [
-        (F.size(top) > 0, F.concat(F.lit("Bronze record is missing required top-level fields: "), _listed(top))),
+        (F.size(top) > 0, F.concat(F.lit(SAYS["top"]), _listed(top))),
         object_step("payload", "_payload"),
-        (F.size(inner) > 0, F.concat(F.lit("Bronze payload is missing required fields: "), _listed(inner))),
+        (F.size(inner) > 0, F.concat(F.lit(SAYS["payload"]), _listed(inner))),
         object_step("payload.hourly", "_hourly"),
-        (F.size(hourly) > 0, F.concat(F.lit("Bronze hourly payload is missing required fields: "), _listed(hourly))),
+        (F.size(hourly) > 0, F.concat(F.lit(SAYS["hourly"]), _listed(hourly))),
         *[
-            (F.col(f"_a_{n}").isNull(), F.lit(f"Expected 'payload.hourly.{n}' to be an array."))
+            (F.col(f"_a_{n}").isNull(), F.lit(SAYS["array"].format(n)))
             for n in HOURLY_FIELDS
         ],
-        (count == 0, F.lit("Bronze hourly arrays must contain at least one forecast record.")),
+        (count == 0, F.lit(SAYS["empty"])),
         (
             F.size(wrong) > 0,
-            F.format_string(
-                "Bronze hourly arrays are misaligned. Expected %d elements based on 'time'; received %s.",
-                count,
-                _sizes_shown(wrong),
-            ),
+            F.format_string(SAYS["misaligned"], count, _sizes_shown(wrong)),
         ),
-        (kind(F.col("_declared")) != "BIGINT", F.lit("'hourly_record_count' must be an integer.")),
+        (kind(F.col("_declared")) != "BIGINT", F.lit(SAYS["declared"])),
         (
             declared != count,
-            F.format_string(
-                "'hourly_record_count' does not match the actual hourly array length. Declared=%d, actual=%d.",
-                declared,
-                count,
-            ),
+            F.format_string(SAYS["count"], declared, count),
         ),
         object_step("payload.hourly_units", "_units"),
-        (F.size(units) > 0, F.concat(F.lit("Bronze hourly units are missing required fields: "), _listed(units))),
+        (F.size(units) > 0, F.concat(F.lit(SAYS["units"]), _listed(units))),
         (
             absent(at(record, "request_parameters.forecast_days")),
-            F.lit("Bronze request parameters are missing required fields: ['forecast_days']"),
+            F.lit(SAYS["days"]),
         ),
     ]
     arrays = [f"_a_{n}" for n in HOURLY_FIELDS]
@@ -158,19 +171,19 @@ def response_contract(payloads: DataFrame, column: str, variables: Sequence[str]
     return payloads.withColumn(
         "violation",
         _first(
-            (~is_object(payload), F.lit("API response payload must be a JSON object.")),
-            (F.size(top) > 0, F.concat(F.lit("API response is missing required fields: "), _listed(top))),
-            (~is_object(hourly), F.lit("API response field 'hourly' is not an object.")),
-            (~F.coalesce(time_size > 0, F.lit(False)), F.lit("API response does not contain hourly timestamps.")),
-            (F.size(lacking) > 0, F.concat(F.lit("API response is missing requested hourly variables: "), _listed(lacking))),
-            (F.size(uneven) > 0, F.concat(F.lit("Hourly variables do not align with the timestamp count: "), _listed(uneven))),
+            (~is_object(payload), F.lit(SAYS["response"])),
+            (F.size(top) > 0, F.concat(F.lit(SAYS["response_fields"]), _listed(top))),
+            (~is_object(hourly), F.lit(SAYS["response_hourly"])),
+            (~F.coalesce(time_size > 0, F.lit(False)), F.lit(SAYS["response_times"])),
+            (F.size(lacking) > 0, F.concat(F.lit(SAYS["response_variables"]), _listed(lacking))),
+            (F.size(uneven) > 0, F.concat(F.lit(SAYS["response_uneven"]), _listed(uneven))),
         ),
     )
 
 
 @dataclass(frozen=True)
 class Flattened:
-    """Typed hourly rows, and what was kept out: file and reason."""
+    """Typed hourly rows, and what was kept out: file, place in the file, and reason."""
 
     rows: DataFrame
     rejected: DataFrame
@@ -186,7 +199,7 @@ def _fault(
     """Why a value of type ``name`` could not be converted; null when it could."""
     broken = value.isNull() if needed else value.isNull() & ~absent_kind(name)
     reason = F.when(
-        name.eqNullSafe("BOOLEAN"), F.concat(F.lit("'"), path, F.lit("' cannot be a Boolean value."))
+        name.eqNullSafe("BOOLEAN"), F.concat(F.lit("'"), path, F.lit(SAYS["boolean"]))
     ).otherwise(
         F.concat(F.lit("'"), path, F.lit(f"' could not be converted to {wanted}: "), F.to_json(source), F.lit("."))
     )
@@ -194,9 +207,7 @@ def _fault(
 
 
 def _stamp_fault(value: Column, path: Column) -> Column:
-    return F.when(
-        value.isNull(), F.concat(F.lit("'"), path, F.lit("' contains an invalid ISO-8601 timestamp."))
-    )
+    return F.when(value.isNull(), F.concat(F.lit("'"), path, F.lit(SAYS["stamp"])))
 
 
 # Record-level numbers: name, path, whole, needed.
@@ -228,60 +239,87 @@ COLUMNS = (
 )
 
 
-def _typed(rows: DataFrame, sources: dict[str, Column], whole: Sequence[str]) -> DataFrame:
-    """Convert VARIANT values; ``_v_`` keeps the value and ``_k_`` its type name, read once."""
-    rows = rows.withColumns({f"_v_{n}": source for n, source in sources.items()})
-    rows = rows.withColumns({f"_k_{n}": kind(F.col(f"_v_{n}")) for n in sources})
-    return rows.withColumns(
-        {
-            n: (strict_int if n in whole else strict_float)(F.col(f"_v_{n}"), F.col(f"_k_{n}"))
-            for n in sources
-        }
+# Types of arrays whose elements are all converted as the array is.
+_EVEN_WHOLE = r"^ARRAY<(VOID|BIGINT)>$"
+_EVEN_FLOAT = r"^ARRAY<(VOID|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))>$"
+
+
+def _convert(value: Column, name: Column, whole: bool) -> Column:
+    return (strict_int if whole else strict_float)(value, name)
+
+
+def _convert_hours(rows: DataFrame) -> DataFrame:
+    """Typed hourly arrays ``_h_<field>`` and the reasons of each, ``_f_<field>``.
+
+    Nearly all arrays hold values of one type; those are converted in one step.
+    Only others are judged value by value.
+    """
+
+    def position(name: str, at_: Column) -> Column:
+        return F.format_string(f"payload.hourly.{name}[%d]", at_)
+
+    def numbers(name: str, whole: bool) -> tuple[Column, Column]:
+        kind_, values = F.col(f"_k_{name}"), F.col(f"_a_{name}")
+        even = kind_.rlike(_EVEN_WHOLE if whole else _EVEN_FLOAT)
+        at_once = F.try_variant_get(at(F.col("_hourly"), name), "$", "array<bigint>" if whole else "array<double>")
+        each = F.transform(values, lambda v: _convert(v, kind(v), whole))
+
+        def fault(v: Column, i: Column) -> Column:
+            return _fault(v, kind(v), _convert(v, kind(v), whole), position(name, i), "integer" if whole else "float", False)
+
+        return F.when(even, at_once).otherwise(each), F.when(~even, F.array_compact(F.transform(values, fault)))
+
+    written = F.when(F.col("_k_time") == "ARRAY<STRING>", F.try_variant_get(at(F.col("_hourly"), "time"), "$", "array<string>"))
+    written = written.otherwise(F.transform("_a_time", lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))))
+    rows = rows.withColumns({f"_k_{n}": kind(at(F.col("_hourly"), n)) for n in HOURLY_FIELDS})
+    hours = {n: numbers(n, n in _WHOLE_HOURS) for n in HOURLY_FIELDS[1:]}
+    rows = rows.withColumns(
+        {f"_h_{n}": values for n, (values, _) in hours.items()}
+        | {f"_f_{n}": faults for n, (_, faults) in hours.items()}
+        | {"_h_time": F.transform(written, lambda t: _spelled_out(F.trim(t)).try_cast("timestamp_ntz"))}
     )
+    bad_times = F.transform("_h_time", lambda t, i: _stamp_fault(t, position("time", i)))
+    return rows.withColumn("_f_time", F.when(F.exists("_h_time", lambda t: t.isNull()), F.array_compact(bad_times)))
 
 
-def hourly_rows(checked: DataFrame) -> DataFrame:
-    """One row per forecast hour with ``_errors``; a record with a violation gives one row.
+def judged(checked: DataFrame) -> DataFrame:
+    """One row per record with typed values, typed hourly arrays and ``_errors``.
 
-    Record values are converted once per record, before the hours are unnested,
-    and the nested record itself is left behind there.
+    The whole record is judged where it lies: hours are arrays until it is known
+    that all of them may stay, so nothing is unnested for a bad record and no
+    other row is asked.  A record with errors has no arrays.
     """
-    record = F.col("record")
-    whole = [name for name, _, is_whole, _ in _RECORD_NUMBERS if is_whole]
-    rows = _typed(checked, {name: at(record, path) for name, path, _, _ in _RECORD_NUMBERS}, whole)
+    record, sound = F.col("record"), F.col("violation").isNull()
+    rows = checked.withColumns({f"_v_{name}": at(record, path) for name, path, _, _ in _RECORD_NUMBERS})
+    rows = rows.withColumns({f"_k_{name}": kind(F.col(f"_v_{name}")) for name, *_ in _RECORD_NUMBERS})
     ingested = _stamp_text(at(record, "ingestion_timestamp_utc"))
     rows = rows.withColumns(
-        {name: text(at(record, path)) for name, path in _RECORD_TEXTS.items()}
+        {name: _convert(F.col(f"_v_{name}"), F.col(f"_k_{name}"), whole) for name, _, whole, _ in _RECORD_NUMBERS}
+        | {name: text(at(record, path)) for name, path in _RECORD_TEXTS.items()}
         | {"ingestion_timestamp_utc": F.timestamp_micros(iso_timestamp(ingested)["at_us"])}
+        | {"_hourly": F.when(sound, at(record, "payload.hourly"))}
+        | {f"_a_{n}": F.when(sound, F.col(f"_a_{n}")) for n in HOURLY_FIELDS}
     )
-
-    def fault(name: str, path: Column, is_whole: bool, needed: bool) -> Column:
-        wanted = "integer" if is_whole else "float"
-        return _fault(F.col(f"_v_{name}"), F.col(f"_k_{name}"), F.col(name), path, wanted, needed)
-
-    faults = [fault(name, F.lit(path), is_whole, needed) for name, path, is_whole, needed in _RECORD_NUMBERS]
+    rows = _convert_hours(rows)
+    faults = [
+        _fault(F.col(f"_v_{name}"), F.col(f"_k_{name}"), F.col(name), F.lit(path), "integer" if whole else "float", needed)
+        for name, path, whole, needed in _RECORD_NUMBERS
+    ]
     faults.append(_stamp_fault(F.col("ingestion_timestamp_utc"), F.lit("ingestion_timestamp_utc")))
-    levels = [*_RECORD_TEXTS, *[n[0] for n in _RECORD_NUMBERS], "ingestion_timestamp_utc"]
-    zipped = F.arrays_zip(*[F.col(f"_a_{n}").alias(n) for n in HOURLY_FIELDS])
-    # Nothing is unnested for a record with a violation, so no filter judges it again.
-    hours = rows.withColumn("_faults", F.array_compact(F.array(*faults))).select(
-        RECORD_FILE, "violation", *levels, "_faults",
-        F.posexplode_outer(F.when(F.col("violation").isNull(), zipped)).alias("forecast_hour_index", "_at"),
-    )
-    typed = _typed(hours, {n: F.col(f"_at.{n}") for n in HOURLY_FIELDS[1:]}, _WHOLE_HOURS).withColumn(
-        "forecast_timestamp_local",
-        _spelled_out(_stamp_text(F.col("_at.time"))).try_cast("timestamp_ntz"),
-    )
+    nothing = F.array().cast("array<string>")
+    found = F.concat(F.array_compact(F.array(*faults)), *[F.coalesce(f"_f_{n}", nothing) for n in HOURLY_FIELDS])
+    rows = rows.withColumn("_errors", F.when(sound, found).otherwise(F.array("violation")))
+    levels = [c for c in COLUMNS if c not in HOURLY_FIELDS and c not in ("forecast_timestamp_local", "forecast_hour_index")]
+    kept = F.size("_errors") == 0
+    return rows.select(*levels, RECORD_FILE, RECORD_AT, "_errors", *[F.when(kept, F.col(f"_h_{n}")).alias(f"_h_{n}") for n in HOURLY_FIELDS])
 
-    def position(name: str) -> Column:
-        return F.format_string(f"payload.hourly.{name}[%d]", F.col("forecast_hour_index"))
 
-    faults = [fault(n, position(n), n in _WHOLE_HOURS, False) for n in HOURLY_FIELDS[1:]]
-    faults.append(_stamp_fault(F.col("forecast_timestamp_local"), position("time")))
-    errors = F.when(F.col("violation").isNotNull(), F.array("violation")).otherwise(
-        F.concat("_faults", F.array_compact(F.array(*faults)))
-    )
-    return typed.select(*COLUMNS, RECORD_FILE, errors.alias("_errors"))
+def unnest_hours(records: DataFrame) -> DataFrame:
+    """One row per hour of the sound records among ``judged`` ones."""
+    zipped = F.arrays_zip(*[F.col(f"_h_{n}").alias(n) for n in HOURLY_FIELDS])
+    hours = records.where(F.size("_errors") == 0).select("*", F.posexplode(zipped).alias("forecast_hour_index", "_at"))
+    named = {n: F.col(f"_at.{n}") for n in HOURLY_FIELDS[1:]} | {"forecast_timestamp_local": F.col("_at.time")}
+    return hours.withColumns(named).select(*COLUMNS)
 
 
 class RejectedRecordsError(WeatherError):
@@ -303,15 +341,14 @@ def flatten(records: DataFrame, mode: str = "strict") -> Flattened:
         raise WeatherError("mode must be 'strict' or 'quarantine'")
     if records.isEmpty():
         raise WeatherError("At least one Bronze record is required.")
-    # Parsed once; the probe, the rows and the reasons all read this.
-    hours = materialize(hourly_rows(_checked(records)))
-    rejected = hours.select(RECORD_FILE, F.explode("_errors").alias("reason")).distinct()
+    if RECORD_AT not in records.columns:
+        records = records.withColumn(RECORD_AT, F.lit(0))
+    # Parsed once, a row per record; the probe, the rows and the reasons all read this.
+    found = materialize(judged(_checked(records)))
+    rejected = found.select(RECORD_FILE, RECORD_AT, F.explode("_errors").alias("reason"))
     if mode == "strict":
         shown = rejected.limit(5).collect()
         if shown:
             reasons = "; ".join(f"{r[RECORD_FILE]}: {r['reason']}" for r in shown)
             raise RejectedRecordsError(f"{rejected.count()} problems in Bronze records, among them: {reasons}", rejected)
-        return Flattened(hours.select(*COLUMNS), rejected)
-    bad = rejected.select(RECORD_FILE).distinct()
-    kept = hours.join(bad, RECORD_FILE, "left_anti")
-    return Flattened(kept.select(*COLUMNS), rejected)
+    return Flattened(unnest_hours(found), rejected)

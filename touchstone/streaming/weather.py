@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchstone.operators.upsert import upsert
 from touchstone.plans.weather import KEYS, flatten
-from touchstone.sources.weather_json import RECORD_FILE
+from touchstone.sources.weather_json import RECORD_FILE, split_records
 
 
 def upsert_new_forecasts(
@@ -36,16 +36,15 @@ def upsert_new_forecasts(
     """
     if mode == "quarantine" and not rejected_root:
         raise ValueError("quarantine mode needs a folder for the rejected records")
-    records = (
+    texts = (
         spark.readStream.format("text")
         .option("wholetext", "true")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
         .load(root)
-        .select(
-            F.try_parse_json("value").alias("record"), F.col("_metadata.file_path").alias(RECORD_FILE)
-        )
+        .select("value", F.col("_metadata.file_path").alias(RECORD_FILE))
     )
+    records = split_records(texts)
 
     def store(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():

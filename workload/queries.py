@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchstone.functions import finite_decimal, iso_date, iso_timestamp, missing, one_of, within_tolerance
@@ -19,13 +20,15 @@ from touchstone.operators import (
     cycle_members,
     duplicates,
     lookup,
-    merged,
+    looping_roots,
     multiset_difference,
     overlapping,
     period_conflicts,
     referenced,
     unreferenced,
     unresolved,
+    upsert,
+    upserted,
 )
 from touchstone.operators.keys import duplicates_by
 from touchstone.plans.analytics import exposed, load_dispersion, reassignments
@@ -34,7 +37,10 @@ from touchstone.plans.gates import accepted_dataset
 from touchstone.plans.locations import location_violations
 from touchstone.plans.monitoring import complete_runs, run_status, severity_rollup, status_rollup
 from touchstone.plans.operations import OPERATIONS
+from touchstone.plans.rules import Entity, Pack
 from touchstone.plans.weather import HOURLY_FIELDS, flatten, response_contract
+from touchstone.session import ensure_checkpoint_dir
+from touchstone.sources import land_all
 from workload.operations_oracle import gate_oracle, operations_oracles
 from workload.retail import RETAIL, TABLES_SQL, retail_tables
 from workload.views import TABLES, load, operations_tables
@@ -381,7 +387,46 @@ def _turns(spark, folder) -> DataFrame:
     """SELECT conv_id || '-0' AS root, turn AS depth, conv_id || '-' || turn AS node FROM conversations""",
 )
 def lineage_chains(spark, folder):
-    return chains(_turns(spark, folder), "id", "pred", "status", "Rescheduled", "row")
+    return chains(_turns(spark, folder), "id", "pred", "status", "Rescheduled", "row").select("root", "depth", "node")
+
+
+def _looping_orders(spark, folder) -> DataFrame:
+    """A customer's orders as a lineage, some of which close into a loop.
+
+    An order follows the one before it.  By customer number, one third of the
+    lineages end; one third also list their first order again, after their last,
+    so all is one loop; one third do so with their second order, so the first
+    hangs on a loop.
+    """
+    orders = load(spark, folder, "orders").select("o_custkey", F.col("o_orderkey").alias("row"))
+    own = Window.partitionBy("o_custkey").orderBy("row")
+    placed = orders.withColumns(
+        {"place": F.row_number().over(own), "before": F.lag("row").over(own), "last": F.max("row").over(Window.partitionBy("o_custkey"))}
+    )
+    first = placed.select("row", F.col("row").alias("id"), F.col("before").alias("pred"))
+    again = placed.where("place = o_custkey % 3").select(F.lit(-1).alias("row"), F.col("row").alias("id"), F.col("last").alias("pred"))
+    every = first.unionByName(again)
+    return every.select("row", F.col("id").cast("string").alias("id"), F.col("pred").cast("string").alias("pred"), F.lit("Rescheduled").alias("status"))
+
+
+_LOOPING = """t AS (SELECT o_custkey AS c, o_orderkey AS id, COUNT(*) OVER (PARTITION BY o_custkey) AS n,
+        ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place,
+        MIN(o_orderkey) OVER (PARTITION BY o_custkey) AS root FROM orders),
+    m AS (SELECT CAST(root AS VARCHAR) AS root, place - 1 AS depth, CAST(id AS VARCHAR) AS node,
+        c % 3 = 2 AND place >= 2 AS in_loop FROM t WHERE c % 3 <> 1)"""
+
+
+@query("lineage_loops", f"WITH {_LOOPING} SELECT * FROM m")
+def lineage_loops(spark, folder):
+    return chains(_looping_orders(spark, folder), "id", "pred", "status", "Rescheduled", "row")
+
+
+@query(
+    "lineage_looping_roots",
+    f"WITH {_LOOPING} SELECT root, COUNT(*) AS loop_length, MIN(depth) AS entry_depth FROM m WHERE in_loop GROUP BY root",
+)
+def lineage_looping_roots(spark, folder):
+    return looping_roots(chains(_looping_orders(spark, folder), "id", "pred", "status", "Rescheduled", "row"))
 
 
 @query(
@@ -397,17 +442,6 @@ def lineage_chain_summary(spark, folder):
 # Nested and semi-structured values
 
 
-@query(
-    "explode_embedding",
-    """SELECT vec_id, CAST(i - 1 AS INTEGER) AS position, CAST(embedding[i] AS DOUBLE) AS component
-    FROM embeddings, UNNEST(range(1, len(embedding) + 1)) AS u(i)""",
-)
-def explode_embedding(spark, folder):
-    return load(spark, folder, "embeddings").select(
-        "vec_id", F.posexplode("embedding").alias("position", "component")
-    ).withColumn("component", F.col("component").cast("double"))
-
-
 @query(
     "array_alignment",
     """SELECT vec_id, CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS positive, CAST(len(embedding) AS INTEGER) AS declared
@@ -430,7 +464,7 @@ def _props(spark, folder) -> DataFrame:
         F.when(kind_ == "view", '{"k": true, "tag": null}')
         .when(kind_ == "error", F.replace(F.replace(F.col("props"), F.lit(": "), F.lit(': "')), F.lit("}"), F.lit('.5"}')))
         .when(kind_ == "signup", F.replace(F.col("props"), F.lit("}"), F.lit('.7, "tag": "x"}')))
-        .when(kind_ == "purchase", F.replace(F.replace(F.col("props"), F.lit(": "), F.lit(': " ')), F.lit("}"), F.lit('"}')))
+        .when(kind_ == "purchase", F.replace(F.replace(F.col("props"), F.lit(": "), F.lit(': " ')), F.lit("}"), F.lit('000000000"}')))
         .otherwise(F.col("props"))
     )
     return load(spark, folder, "events").select("event_id", "event_type", F.parse_json(text).alias("v"))
@@ -454,8 +488,8 @@ def json_extract(spark, folder):
 @query(
     "cast_audit",
     f"""WITH {_PROPS} SELECT event_id,
-        CASE WHEN event_type IN ('view', 'error') THEN NULL ELSE CAST(k AS INTEGER) END AS whole,
-        CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN k + 0.5 WHEN 'signup' THEN CAST(CONCAT(k, '.7') AS DOUBLE) ELSE k END AS number,
+        CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN NULL WHEN 'purchase' THEN k * 1000000000 ELSE k END AS whole,
+        CASE event_type WHEN 'view' THEN NULL WHEN 'purchase' THEN CAST(k * 1000000000 AS DOUBLE) WHEN 'error' THEN k + 0.5 WHEN 'signup' THEN CAST(CONCAT(k, '.7') AS DOUBLE) ELSE k END AS number,
         event_type IN ('view', 'error') AS whole_failed, event_type = 'view' AS number_failed FROM props2""",
 )
 def cast_audit(spark, folder):
@@ -470,10 +504,13 @@ def cast_audit(spark, folder):
     )
 
 
-def _forecasts(spark, folder) -> DataFrame:
-    """One forecast record per embedding: its components are the hourly values."""
+def _forecasts(spark, folder, label: Column | None = None) -> DataFrame:
+    """One forecast record per embedding: its components are the hourly values.
+
+    Codes lie above the range of 32 bits.  The label says which fault a record has.
+    """
     tenths = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000) / 10)
-    codes = F.transform("embedding", lambda x: F.floor(x.cast("double") * 100).cast("int"))
+    codes = F.transform("embedding", lambda x: F.floor(x.cast("double") * 100) + 3_000_000_000)
     n = F.size("embedding")
     hours = F.transform(
         F.sequence(F.lit(0), n - 1),
@@ -481,7 +518,7 @@ def _forecasts(spark, folder) -> DataFrame:
             F.substring(F.timestamp_add("HOUR", i, F.lit("2026-07-01").cast("timestamp_ntz")).cast("string"), 1, 16), F.lit(" "), F.lit("T")
         ),
     )
-    label = F.col("label")
+    label = F.col("label") if label is None else label
     hourly = F.struct(
         hours.alias("time"),
         tenths.alias("temperature_2m"),
@@ -489,7 +526,7 @@ def _forecasts(spark, folder) -> DataFrame:
         F.when(label == 4, F.slice(codes, 1, 5)).otherwise(codes).alias("relative_humidity_2m"),
         tenths.alias("precipitation"),
         codes.alias("weather_code"),
-        tenths.alias("wind_gusts_10m"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("wind_gusts_10m"),
     )
     units = F.struct(*[F.lit(name).alias(name) for name in HOURLY_FIELDS])
     payload = F.struct(
@@ -510,13 +547,27 @@ def _forecasts(spark, folder) -> DataFrame:
     )
 
 
+@query(
+    "explode_embedding",
+    """SELECT vec_id, CAST(i - 1 AS INTEGER) AS position, CAST(embedding[i] AS DOUBLE) AS component
+    FROM embeddings, UNNEST(range(1, len(embedding) + 1)) AS u(i)""",
+)
+def explode_embedding(spark, folder):
+    """Every embedding as the hours of a sound forecast."""
+    rows = flatten(_forecasts(spark, folder, F.lit(0))).rows
+    return rows.select(
+        F.col("pipeline_run_id").cast("long").alias("vec_id"), F.col("forecast_hour_index").alias("position"),
+        F.col("wind_gusts_10m").alias("component"),
+    )
+
+
 @query(
     "weather_hours",
     """SELECT CAST(vec_id AS VARCHAR) AS pipeline_run_id, CONCAT('L', label) AS location_id, CAST(i - 1 AS INTEGER) AS forecast_hour_index,
         CAST(TIMESTAMP '2026-07-01 00:00:00' + INTERVAL 1 HOUR * (i - 1) AS VARCHAR) AS forecast_at,
         CAST(TIMESTAMP '2026-07-14 12:00:00' AS VARCHAR) AS ingested_at,
         FLOOR(CAST(embedding[i] AS DOUBLE) * 1000) / 10 AS temperature_2m,
-        CAST(FLOOR(CAST(embedding[i] AS DOUBLE) * 100) AS INTEGER) AS weather_code, 'weather_code' AS weather_code_unit
+        CAST(FLOOR(CAST(embedding[i] AS DOUBLE) * 100) AS BIGINT) + 3000000000 AS weather_code, 'weather_code' AS weather_code_unit
     FROM embeddings, UNNEST(range(1, len(embedding) + 1)) AS u(i) WHERE label NOT IN (3, 4, 5, 6)""",
 )
 def weather_hours(spark, folder):
@@ -572,8 +623,13 @@ def _upsert_sides(spark, folder) -> tuple[DataFrame, DataFrame]:
     FROM events""",
 )
 def upsert_events(spark, folder):
+    """Events as a table by buckets of their key, then the new state of some upserted into it."""
     target, source = _upsert_sides(spark, folder)
-    return merged(target, source, ["event_id", "user_id"])
+    table, keys = f"upsert_events_{uuid.uuid4().hex}", ["event_id", "user_id"]
+    place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
+    upsert(target, table, keys, buckets=16, location=place, settled=True)
+    upsert(source, table, keys, settled=True)
+    return upserted(spark, table)
 
 
 @query(
@@ -721,14 +777,18 @@ def severity_rollup_query(spark, folder):
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLES),
 )
 def row_counts(spark, folder):
-    parts = [
-        load(spark, folder, t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-        for t in TABLES
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Counts that landing reports for CSV copies of the tables."""
+    place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    entities = []
+    for name in TABLES:
+        table = load(spark, folder, name)
+        # Text only: a list is spelled out, and no value breaks a line.
+        plain = table.select(*[F.regexp_replace(F.col(f"`{c}`").cast("string"), r"[\r\n\"]", " ").alias(c) for c in table.columns])
+        plain.write.option("header", True).option("emptyValue", "").csv(f"{place}/{name}.csv")
+        entities.append(Entity(name, tuple(table.columns), tuple(table.columns), table.columns[0]))
+    sources = {name: f"{place}/{name}.csv" for name in TABLES}
+    landed = land_all(spark, Pack([], entities), sources, "2026-08-03", "counts", root=f"{place}/landed")
+    return spark.createDataFrame([(r.entity_name, r.row_count) for r in landed], "table_name string, row_count long")
 
 
 # Coverage analytics
