@@ -58,10 +58,37 @@ def test_repeated_and_null_ids(spark):
     kept = keep_one(docs)
     assert kept.columns == docs.columns
     ids = sorted((r["doc_id"] for r in kept.collect()), key=repr)
-    assert ids == sorted([-8, 1, 2, 3, 4, 5, 6, 7, None], key=repr)
+    assert ids == sorted([-8, 1, 2, 3, 4, 5, 5, 6, 7, None], key=repr)
     assert near_duplicate_rows(docs.limit(0)).count() == 0
 
 
+def test_no_text_is_lost_with_its_id(spark):
+    x, y = ("alpha beta gamma delta epsilon " * 3 + str(i) for i in "xy")
+    x = x.replace("alpha", "other")
+    rows = [(5, x, "en", "s", 1), (5, y, "en", "s", 1), (70, y + " more", "en", "s", 1), (70, x, "en", "s", 2)]
+    kept = keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, x), (5, y)])
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_ids_on_unlike_texts(spark, seed):
+    # Ids 0 to 4 stand on all rows: each class must keep one row, whatever its id.
+    rng = random.Random(seed)
+    rows = [(rng.randrange(5), text, *rest) for _, text, *rest in documents(seed)]
+    plain = near([(i, text) for i, (_, text, *_) in enumerate(rows)])
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = [(r["doc_id"], r["text"]) for r in keep_one(docs).collect()]
+    groups = {}
+    for i, (root, _) in plain.items():
+        groups.setdefault(root, []).append(i)
+    assert len(kept) == len(groups)
+    for group in groups.values():
+        texts = {rows[i][1] for i in group}
+        own = [k for k in kept if k[1] in texts]
+        assert len(own) == 1 and own[0][0] == min(rows[i][0] for i in group)
+    assert sorted(r["n_links"] for r in near_duplicate_rows(docs).collect()) == sorted(n for _, n in plain.values())
+
+
 def test_one_of_each_class_stays(spark):
     rows = documents(4)[40:80]
     classes = brute(rows)

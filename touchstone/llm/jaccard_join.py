@@ -204,7 +204,7 @@ def _verify(
 ) -> DataFrame:
     """``(same, node, links, root)`` from every pair of blocks of every component.
 
-    ``items`` are the representatives: same, node, rows, bytes, raw, component.
+    ``items`` are the representatives: same, node, id, raw, rows, bytes, component.
     """
     cut = items.groupBy("component").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / block_documents), F.ceil(F.sum("bytes") / block_bytes), F.lit(1)).cast("int").alias("cut")
@@ -217,7 +217,7 @@ def _verify(
         .drop("of", "spread", "bytes")
     )
     met = (
-        texts.join(dealt, (F.col("id") == F.col("node")) & (F.col("text_hash") == F.col("raw")))
+        texts.withColumnRenamed("id", "text_id").join(dealt, (F.col("text_id") == F.col("id")) & (F.col("text_hash") == F.col("raw")))
         .withColumn("other", other)
         .select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "same", "node", "rows", "text")
     )
@@ -226,31 +226,13 @@ def _verify(
     )
 
 
-def near_duplicates(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = SHINGLE,
-    threshold: float = THRESHOLD,
-    recall: float = RECALL,
-    most_hashes: int = MOST_HASHES,
-    block_documents: int = BLOCK_DOCUMENTS,
-    block_bytes: int = BLOCK_BYTES,
+def _classes(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, threshold: float, recall: float, most_hashes: int, block_documents: int, block_bytes: int
 ) -> DataFrame:
-    """``(doc_id, class_id, n_links)``, one row per row of ``docs`` that has an id and words.
-
-    Two rows are linked if the sets of their word n-grams have a Jaccard
-    similarity of at least ``threshold`` (exactly checked); a class is what links
-    connect, and ``class_id`` its smallest id.  ``n_links`` counts the other rows
-    linked to this one, copies included.  Words are lower-cased runs of ASCII
-    letters, digits and non-ASCII characters; a text of fewer words than an
-    n-gram has one n-gram.
+    """``(id, raw, class_id, keeper, n_links)`` of every row with an id and words.
 
-    Defined cases: texts without words (null and empty ones too) and rows with a
-    null id link to nothing; ``near_duplicate_rows`` lists them as their own
-    class (null for a null id).  Rows that repeat an id are in one class; an
-    empty table gives no rows.
+    ``keeper`` is the smallest (id, text hash) of the class.  Classes are made of
+    word sequences, which links alone connect; ids play no part in it.
     """
     bands, rows = choose_bands(threshold, recall, most_hashes)
     signed = materialize(signatures(docs, id_col, text_col, shingle, bands, rows))
@@ -258,12 +240,12 @@ def near_duplicates(
     copies = (
         signed.groupBy("same")
         .agg(F.min(F.struct("id", "raw")).alias("first"), F.count(F.lit(1)).alias("rows"), F.max("bytes").alias("bytes"))
-        .select("same", F.col("first.id").alias("node"), F.col("first.raw").alias("raw"), "rows", "bytes")
+        .select("same", F.col("first.id").alias("id"), F.col("first.raw").alias("raw"), "rows", "bytes", F.monotonically_increasing_id().alias("node"))
     )
-    copies = materialize(copies)
-    named = copies.select(F.col("same").alias("of"), "node", F.col("raw").alias("first"), "rows")
+    copies = materialize(copies)  # numbers a sequence for good: one id may stand on many
+    named = copies.select(F.col("same").alias("of"), "node", F.struct("id", "raw").alias("first"), "rows")
     members = signed.join(named, F.col("same") == F.col("of")).drop("of", "bytes")
-    keyed = members.where((F.col("id") == F.col("node")) & (F.col("raw") == F.col("first")))
+    keyed = members.where(F.struct("id", "raw") == F.col("first"))
     keyed = keyed.select("node", F.explode("bands").alias("key"))
     stars = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
     stars = stars.select("key", "hub", F.hash("key").alias("spread"))
@@ -274,29 +256,58 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     # A representative whose very row stands more than once must meet others once.
     again = signed.groupBy("id", "raw").count().where("count > 1").select("id", F.col("raw").alias("text_hash"))
-    again = materialize(again.join(items.select(F.col("node").alias("id"), F.col("raw").alias("text_hash")), ["id", "text_hash"], "left_semi"))
+    again = materialize(again.join(items.select("id", F.col("raw").alias("text_hash")), ["id", "text_hash"], "left_semi"))
     if not again.isEmpty():
         keys = ["id", "text_hash"]
         once = texts.join(again, keys).groupBy(*keys).agg(F.min("text").alias("text")).select("id", "text", "text_hash")
         texts = texts.join(again, keys, "left_anti").unionByName(once)
     verified = materialize(_verify(texts, items, shingle, Fraction(str(threshold)), block_documents, block_bytes))
-    # Rows that repeat an id tie the classes of their texts together.
-    members = materialize(members.select("id", "same", "node", "rows"))
-    tied = members.groupBy("id").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
-    ties = members.join(tied, "id").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    classes = connected(verified.select(F.col("node").alias("a"), F.col("root").alias("b")).union(ties))
+    members = materialize(members.select("id", "raw", "same", "node", "first", "rows"))
     linked = verified.groupBy("same").agg(F.sum("links").alias("links"))
+    classes = connected(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    found = copies.select("node", F.struct("id", "raw").alias("own")).join(classes, "node")
+    least = found.groupBy(F.col("component").alias("of")).agg(F.min("own").alias("keeper"))
+    named = found.join(least, F.col("component") == F.col("of")).select(F.col("node").alias("of"), "keeper")
     return (
         members.withColumn("spread", F.hash("same")).join(linked.withColumn("spread", F.hash("same")), ["same", "spread"], "left")
-        .join(classes.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-        .select(
-            F.col("id").alias(id_col),
-            F.coalesce("component", "node").alias("class_id"),
-            (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"),
-        )
+        .join(named, F.col("node") == F.col("of"), "left")
+        .withColumn("keeper", F.coalesce("keeper", "first"))
+        .select("id", "raw", F.col("keeper.id").alias("class_id"), "keeper", (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
     )
 
 
+_OPTIONS = {
+    "text_col": "text", "shingle": SHINGLE, "threshold": THRESHOLD, "recall": RECALL, "most_hashes": MOST_HASHES,
+    "block_documents": BLOCK_DOCUMENTS, "block_bytes": BLOCK_BYTES,
+}
+
+
+def _settings(given: dict[str, object]) -> dict[str, object]:
+    if unknown := set(given) - set(_OPTIONS):
+        raise TypeError(f"no such option: {', '.join(sorted(unknown))}")
+    return _OPTIONS | given
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options: object) -> DataFrame:
+    """``(doc_id, class_id, n_links)``, one row per row of ``docs`` that has an id and words.
+
+    Two rows are linked if the sets of their word n-grams (``shingle`` words)
+    have a Jaccard similarity of at least ``threshold`` (exactly checked); a class
+    is what links connect, and ``class_id`` its smallest id.  ``n_links`` counts
+    the other rows linked to this one, copies included.  Words are lower-cased
+    runs of ASCII letters, digits and non-ASCII characters; a text of fewer words
+    than an n-gram has one n-gram.  Other options: ``text_col``, ``recall``,
+    ``most_hashes``, ``block_documents``, ``block_bytes``.
+
+    Defined cases: texts without words (null and empty ones too) and rows with a
+    null id link to nothing; ``near_duplicate_rows`` lists them as their own
+    class (null for a null id).  An id that stands on unlike texts belongs to
+    several classes, a row of it to one each; an empty table gives no rows.
+    """
+    found = _classes(docs, id_col, **_settings(options))
+    return found.select(F.col("id").alias(id_col), "class_id", "n_links")
+
+
 def near_duplicate_rows(docs: DataFrame, *, id_col: str = "doc_id", **options: object) -> DataFrame:
     """``(doc_id, class_id, n_links)`` of every row of ``docs``, linked or not."""
     text_col = str(options.get("text_col", "text"))
@@ -308,17 +319,22 @@ def near_duplicate_rows(docs: DataFrame, *, id_col: str = "doc_id", **options: o
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", **options: object) -> DataFrame:
-    """``docs`` with one row of every near-duplicate class, its smallest id.
+    """``docs`` with one row of every near-duplicate class, one of its smallest id.
 
-    Rows that link to nothing stay as they are, those with a null id too.  Of
-    rows that repeat a kept id, which are one class, the smallest row stays.
+    Rows that link to nothing stay as they are, those with a null id too.  What
+    stays is decided by row: of an id that stands on unlike texts, each text
+    keeps a row, unless it is a near copy of what stays elsewhere.
     """
-    found = near_duplicates(docs, id_col=id_col, **options)
-    lost = found.where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("_lost")).distinct()
-    lost = lost.select("_lost", F.hash("_lost").alias("_spread"))
-    twice = found.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(id_col).alias("_twice"))
-    kept = docs.join(lost, (docs[id_col] == F.col("_lost")) & (F.hash(docs[id_col]) == F.col("_spread")), "left_anti")
-    once = kept.join(twice, kept[id_col] == F.col("_twice"), "left_anti")
-    several = kept.join(twice, kept[id_col] == F.col("_twice"), "left_semi")
-    least = several.groupBy(id_col).agg(F.min(F.struct(*several.columns)).alias("row")).select("row.*")
+    settings = _settings(options)
+    found = materialize(_classes(docs, id_col, **settings).select("id", "raw", "keeper"))
+    own = F.struct("id", "raw")
+    lost = found.where(own != F.col("keeper")).select(F.col("id").alias("_id"), F.col("raw").alias("_raw")).distinct()
+    lost = lost.withColumn("_spread", F.hash("_id", "_raw"))
+    twice = found.where(own == F.col("keeper")).groupBy(F.col("id").alias("_id"), F.col("raw").alias("_raw")).count().where("count > 1").drop("count")
+
+    doc_id, raw = docs[id_col].cast("long"), F.xxhash64(docs[str(settings["text_col"])])
+    same = (doc_id == F.col("_id")) & (raw == F.col("_raw"))
+    kept = docs.join(lost, same & (F.hash(doc_id, raw) == F.col("_spread")), "left_anti")
+    once, several = kept.join(twice, same, "left_anti"), kept.join(twice, same, "left_semi")
+    least = several.groupBy(doc_id, raw).agg(F.min(F.struct(*several.columns)).alias("row")).select("row.*")
     return once.unionByName(least)
