@@ -18,25 +18,23 @@ from touchstone.session import materialize
 def cycle_members(edges: DataFrame, node: str, parent: str, order: str | None = None) -> DataFrame:
     """Nodes that lie on a cycle of the parent pointers (self-loops included).
 
-    A node listed more than once keeps its last pointer by ``order``.  The image
-    of the 2^k-step map only shrinks towards the cycles, and once it stops
-    shrinking the map permutes it, so it then consists of cycle nodes alone.
+    A node listed more than once keeps its last pointer by ``order``.  Each round
+    keeps the nodes that something points to, and lets them point twice as far.
+    They only get fewer, towards the cycles, and once a round loses none the
+    pointers permute what is left, so it then consists of cycle nodes alone.
     """
     known = edges.where(present(F.col(node).cast("string")))
     picked = F.max_by(parent, order) if order else F.max(parent)
     steps = known.groupBy(F.col(node).alias("node")).agg(picked.alias("parent"))
     steps = materialize(steps.where(present(F.col("parent").cast("string"))))
-    size = None
-    while True:
-        # Only nodes that something points to can lie on a cycle.
-        image = materialize(steps.select(F.col("parent").alias("node")).distinct())
-        now = image.count()
-        if now == 0 or now == size:
-            return image
-        size = now
-        inside = steps.join(image, "node", "left_semi")
+    size, before = steps.count(), None
+    while size and size != before:
+        pointed_to = steps.select(F.col("parent").alias("node")).distinct()
+        inside = steps.join(pointed_to, "node", "left_semi")
         ahead = steps.select(F.col("node").alias("parent"), F.col("parent").alias("beyond"))
         steps = materialize(inside.join(ahead, "parent").select("node", F.col("beyond").alias("parent")))
+        size, before = steps.count(), size
+    return steps.select("node")
 
 
 def without_successor(rows: DataFrame, node: str, parent: str, status: str, value: str) -> DataFrame:
@@ -113,12 +111,13 @@ def loop_places(steps: DataFrame) -> DataFrame:
     return places.select("member", "leader", "ahead")
 
 
-def _descents(links: DataFrame, tails: DataFrame) -> DataFrame:
+def _descents(links: DataFrame, tails: DataFrame, *, loops: bool = True) -> DataFrame | None:
     """``(node, top, depth)``: the ends without a predecessor above every node of ``tails``.
 
     Pointers run back towards the top and are settled there.  At one distance a
     node is above one node only, so a round never holds more rows than there
-    are links; without loops the distances end.
+    are links; without loops the distances end.  With ``loops`` the answer is
+    None as soon as a round does not get smaller, since there may be loops then.
     """
     inner = links.select(F.col("node").alias("top")).distinct().withColumn("_inner", F.lit(True))
     pointers = tails.select("node", F.col("from").alias("top"), F.lit(1).cast("long").alias("depth"))
@@ -128,7 +127,8 @@ def _descents(links: DataFrame, tails: DataFrame) -> DataFrame:
         )
     )
     settled, moving = pointers.where("settled"), pointers.where("NOT settled")
-    while not moving.isEmpty():
+    left = moving.count()
+    while left:
         ahead = settled.unionByName(moving).select(
             F.col("node").alias("top"),
             F.col("top").alias("next_top"),
@@ -145,6 +145,9 @@ def _descents(links: DataFrame, tails: DataFrame) -> DataFrame:
         )
         settled = settled.unionByName(joined.where("settled"))
         moving = joined.where("NOT settled")
+        left, before = moving.count(), left
+        if loops and left >= before:
+            return None
     return settled.select("node", "top", "depth")
 
 
@@ -170,10 +173,16 @@ def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, ord
         .select(F.col(node).alias("root"))
         .distinct()
     )
+    first = roots.select("root", F.lit(0).cast("long").alias("depth"), F.col("root").alias("node"), F.lit(False).alias("in_loop"))
+    found = _descents(links, links)
+    if found is not None:  # no loops anywhere
+        reached = found.withColumnRenamed("top", "root").join(roots, "root", "left_semi")
+        return reached.select("root", "depth", "node", F.lit(False).alias("in_loop")).unionByName(first)
+
     loops = cycle_members(links, "from", "node").select(F.col("node").alias("from"))
     places = loop_places(links.join(loops, "from", "left_semi"))
-    tails = links.join(loops, "from", "left_anti")
-    reached = _descents(links, tails).withColumnRenamed("top", "root").join(roots, "root", "left_semi")
+    found = _descents(links, links.join(loops, "from", "left_anti"), loops=False)
+    reached = found.withColumnRenamed("top", "root").join(roots, "root", "left_semi")
     standing = places.select(F.col("member").alias("node"), "leader", F.col("ahead").alias("_ahead"))
     reached = materialize(reached.join(standing, "node", "left"))
     # Once round from the entry: the rest of its loop follows, in steps from the entry.
@@ -186,13 +195,8 @@ def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, ord
             F.col("member").alias("node"), F.lit(True).alias("in_loop"),
         )
     )
-    return (
-        reached.select("root", "depth", "node", F.col("leader").isNotNull().alias("in_loop"))
-        .unionByName(around)
-        .unionByName(
-            roots.select("root", F.lit(0).cast("long").alias("depth"), F.col("root").alias("node"), F.lit(False).alias("in_loop"))
-        )
-    )
+    reached = reached.select("root", "depth", "node", F.col("leader").isNotNull().alias("in_loop"))
+    return reached.unionByName(around).unionByName(first)
 
 
 def looping_roots(members: DataFrame) -> DataFrame:

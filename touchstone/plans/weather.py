@@ -93,8 +93,27 @@ def _first(*steps: tuple[Column, Column]) -> Column:
     return chosen
 
 
+_WHOLE_HOURS = ("relative_humidity_2m", "weather_code")
+
+
+def _even(field: str) -> str:
+    """Types of arrays whose elements are all converted as the array is."""
+    if field == "time":
+        return r"^ARRAY<STRING>$"
+    if field in _WHOLE_HOURS:
+        return r"^ARRAY<(VOID|BIGINT)>$"
+    return r"^ARRAY<(VOID|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))>$"
+
+
+def _array_type(field: str) -> str:
+    return "array<string>" if field == "time" else "array<bigint>" if field in _WHOLE_HOURS else "array<double>"
+
+
 def _checked(records: DataFrame) -> DataFrame:
-    """Add ``violation`` and the hourly arrays it was judged by (``_a_<field>``)."""
+    """Add ``violation`` and the hourly arrays it was judged by.
+
+    ``_h_<field>`` is an array of one type, converted; ``_a_<field>`` any other.
+    """
     record = F.col("record")
     rows = records.withColumns(
         {
@@ -103,13 +122,21 @@ def _checked(records: DataFrame) -> DataFrame:
             "_units": at(record, "payload.hourly_units"),
             "_declared": at(record, "hourly_record_count"),
         }
-    ).withColumns({f"_a_{n}": array_of(at(F.col("_hourly"), n)) for n in HOURLY_FIELDS})
+    )
+    hourly_values = {n: at(F.col("_hourly"), n) for n in HOURLY_FIELDS}
+    rows = rows.withColumns({f"_k_{n}": kind(value) for n, value in hourly_values.items()})
+    even = {n: F.coalesce(F.col(f"_k_{n}").rlike(_even(n)), F.lit(False)) for n in HOURLY_FIELDS}
+    # Arrays of one type are converted in one step; only others become single values.
+    rows = rows.withColumns(
+        {f"_h_{n}": F.when(even[n], at(F.col("_hourly"), n, _array_type(n))) for n in HOURLY_FIELDS}
+        | {f"_a_{n}": F.when(~even[n], array_of(value)) for n, value in hourly_values.items()}
+    )
     top = missing_fields(record, TOP_FIELDS)
     inner = missing_fields(F.col("_payload"), PAYLOAD_FIELDS)
     hourly = missing_fields(F.col("_hourly"), HOURLY_FIELDS)
     units = missing_fields(F.col("_units"), list(UNITS.values()))
-    count = F.size("_a_time")
-    sizes = {n: F.size(f"_a_{n}") for n in HOURLY_FIELDS}
+    sizes = {n: F.coalesce(F.array_size(f"_h_{n}"), F.array_size(f"_a_{n}"), F.lit(-1)) for n in HOURLY_FIELDS}
+    count = sizes["time"]
     wrong = misaligned(sizes, count)
     declared = F.try_variant_get("_declared", "$", "bigint")
 
@@ -124,7 +151,7 @@ def _checked(records: DataFrame) -> DataFrame:
         object_step("payload.hourly", "_hourly"),
         (F.size(hourly) > 0, F.concat(F.lit(SAYS["hourly"]), _listed(hourly))),
         *[
-            (F.col(f"_a_{n}").isNull(), F.lit(SAYS["array"].format(n)))
+            (sizes[n] < 0, F.lit(SAYS["array"].format(n)))
             for n in HOURLY_FIELDS
         ],
         (count == 0, F.lit(SAYS["empty"])),
@@ -144,7 +171,7 @@ def _checked(records: DataFrame) -> DataFrame:
             F.lit(SAYS["days"]),
         ),
     ]
-    arrays = [f"_a_{n}" for n in HOURLY_FIELDS]
+    arrays = [f"_{part}_{n}" for n in HOURLY_FIELDS for part in "ha"]
     return rows.withColumn("violation", _first(*steps)).select(*records.columns, *arrays, "violation")
 
 
@@ -230,7 +257,6 @@ _RECORD_TEXTS = {
     "timezone_abbreviation": "payload.timezone_abbreviation",
     **{name: f"payload.hourly_units.{source}" for name, source in UNITS.items()},
 }
-_WHOLE_HOURS = ("relative_humidity_2m", "weather_code")
 COLUMNS = (
     "pipeline_run_id", "source_system", "endpoint_name", "location_id", "location_name",
     "ingestion_timestamp_utc", "forecast_timestamp_local", "forecast_hour_index",
@@ -239,44 +265,40 @@ COLUMNS = (
 )
 
 
-# Types of arrays whose elements are all converted as the array is.
-_EVEN_WHOLE = r"^ARRAY<(VOID|BIGINT)>$"
-_EVEN_FLOAT = r"^ARRAY<(VOID|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))>$"
-
-
 def _convert(value: Column, name: Column, whole: bool) -> Column:
     return (strict_int if whole else strict_float)(value, name)
 
 
+def _hour_stamp(text_: Column) -> Column:
+    """Wall clock of an ISO text; the spelling of the service needs one look only."""
+    usual = F.when(text_.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$"), F.concat(text_, F.lit(":00")))
+    return F.coalesce(usual, _spelled_out(F.trim(text_))).try_cast("timestamp_ntz")
+
+
 def _convert_hours(rows: DataFrame) -> DataFrame:
     """Typed hourly arrays ``_h_<field>`` and the reasons of each, ``_f_<field>``.
 
-    Nearly all arrays hold values of one type; those are converted in one step.
-    Only others are judged value by value.
+    Nearly all arrays are typed by now; only others are judged value by value.
     """
 
     def position(name: str, at_: Column) -> Column:
         return F.format_string(f"payload.hourly.{name}[%d]", at_)
 
     def numbers(name: str, whole: bool) -> tuple[Column, Column]:
-        kind_, values = F.col(f"_k_{name}"), F.col(f"_a_{name}")
-        even = kind_.rlike(_EVEN_WHOLE if whole else _EVEN_FLOAT)
-        at_once = F.try_variant_get(at(F.col("_hourly"), name), "$", "array<bigint>" if whole else "array<double>")
+        values = F.col(f"_a_{name}")
         each = F.transform(values, lambda v: _convert(v, kind(v), whole))
 
         def fault(v: Column, i: Column) -> Column:
             return _fault(v, kind(v), _convert(v, kind(v), whole), position(name, i), "integer" if whole else "float", False)
 
-        return F.when(even, at_once).otherwise(each), F.when(~even, F.array_compact(F.transform(values, fault)))
+        return F.coalesce(f"_h_{name}", each), F.array_compact(F.transform(values, fault))
 
-    written = F.when(F.col("_k_time") == "ARRAY<STRING>", F.try_variant_get(at(F.col("_hourly"), "time"), "$", "array<string>"))
-    written = written.otherwise(F.transform("_a_time", lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))))
-    rows = rows.withColumns({f"_k_{n}": kind(at(F.col("_hourly"), n)) for n in HOURLY_FIELDS})
+    written = F.coalesce("_h_time", F.transform("_a_time", lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))))
     hours = {n: numbers(n, n in _WHOLE_HOURS) for n in HOURLY_FIELDS[1:]}
     rows = rows.withColumns(
         {f"_h_{n}": values for n, (values, _) in hours.items()}
         | {f"_f_{n}": faults for n, (_, faults) in hours.items()}
-        | {"_h_time": F.transform(written, lambda t: _spelled_out(F.trim(t)).try_cast("timestamp_ntz"))}
+        | {"_h_time": F.transform(written, _hour_stamp)}
     )
     bad_times = F.transform("_h_time", lambda t, i: _stamp_fault(t, position("time", i)))
     return rows.withColumn("_f_time", F.when(F.exists("_h_time", lambda t: t.isNull()), F.array_compact(bad_times)))
@@ -297,8 +319,7 @@ def judged(checked: DataFrame) -> DataFrame:
         {name: _convert(F.col(f"_v_{name}"), F.col(f"_k_{name}"), whole) for name, _, whole, _ in _RECORD_NUMBERS}
         | {name: text(at(record, path)) for name, path in _RECORD_TEXTS.items()}
         | {"ingestion_timestamp_utc": F.timestamp_micros(iso_timestamp(ingested)["at_us"])}
-        | {"_hourly": F.when(sound, at(record, "payload.hourly"))}
-        | {f"_a_{n}": F.when(sound, F.col(f"_a_{n}")) for n in HOURLY_FIELDS}
+        | {f"_{part}_{n}": F.when(sound, F.col(f"_{part}_{n}")) for n in HOURLY_FIELDS for part in "ha"}
     )
     rows = _convert_hours(rows)
     faults = [

@@ -542,9 +542,9 @@ def _forecasts(spark, folder, label: Column | None = None) -> DataFrame:
         F.when(label == 6, n + 1).otherwise(n).alias("hourly_record_count"),
         F.struct(F.lit(3).alias("forecast_days")).alias("request_parameters"), payload.alias("payload"),
     )
-    return load(spark, folder, "embeddings").select(
-        F.parse_json(F.to_json(record)).alias("record"), F.col("vec_id").cast("string").alias("_source_file")
-    )
+    # Forecasts come in files of their own, so they are spread; the table may be one small file.
+    rows = load(spark, folder, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    return rows.select(F.parse_json(F.to_json(record)).alias("record"), F.col("vec_id").cast("string").alias("_source_file"))
 
 
 @query(
