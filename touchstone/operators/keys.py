@@ -72,19 +72,12 @@ def lookup(
     """
     key = F.col(parent_key).alias("_parent_key")
     if attributes:
-        carried = F.struct(*[F.col(src).alias(name) for name, src in attributes.items()]).alias("_carried")
-        if order:
-            places = parents.select(key, F.col(order).alias("_place"), carried)
-        else:
-            # Equal copies go first; of the others one is taken, the same each time.
-            copies = parents.select(key, *[F.col(src).alias(name) for name, src in attributes.items()]).distinct()
-            carried = F.struct(*attributes).alias("_carried")
-            places = copies.select("_parent_key", F.xxhash64(*attributes).alias("_place"), carried)
-        # Only fixed-width values are aggregated, which Spark does by hashing;
-        # the winning row is then found by its place.
-        last = places.groupBy(F.col("_parent_key").alias("_last_key")).agg(F.max("_place").alias("_last"))
-        won = places["_parent_key"].eqNullSafe(last["_last_key"]) & (places["_place"] >= last["_last"])
-        known = places.join(last, won).select("_parent_key", "_carried")
+        carried = [F.col(src).alias(name) for name, src in attributes.items()]
+        place = F.col(order) if order else F.xxhash64(*[F.col(src) for src in attributes.values()])
+        # One aggregate, whose size Spark can tell from the parents': where they
+        # are few it broadcasts them, and the rows are not shuffled at all.
+        last = F.max(F.struct(place.alias("_place"), *carried))
+        known = parents.groupBy(key).agg(last.alias("_carried"))
     else:
         known = parents.select(key).distinct().withColumn("_carried", F.lit(None))
     left = _spread(rows, [field], "_spread")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from touchstone.functions import missing, present, quoted
 from touchstone.operators.keys import lookup
+from touchstone.operators.scan import running_before
 from touchstone.plans.rules import RECORD, ROW, Check, Entity, Link, Pack, Unique
 from touchstone.session import entity_jobs, materialize
 
@@ -303,10 +304,20 @@ def expanded(findings: DataFrame) -> DataFrame:
     ).drop("occurrences")
 
 
+def _position(entities: tuple[str, ...]) -> Column:
+    return F.array_position(F.array(*[F.lit(e) for e in entities]), F.col("entity"))
+
+
 def ordered(findings: DataFrame, entities: tuple[str, ...]) -> DataFrame:
     """Stable reading order; sinks stay unordered."""
-    position = F.array_position(F.array(*[F.lit(e) for e in entities]), F.col("entity"))
-    return findings.orderBy(position, ROW, "rule_id", "message")
+    return findings.orderBy(_position(entities), ROW, "rule_id", "message")
+
+
+def ranked(findings: DataFrame, entities: tuple[str, ...]) -> DataFrame:
+    """Findings with ``place``, their number from 1 in the stable reading order, whatever their number."""
+    placed = findings.withColumns({"_position": _position(entities), "_one": F.lit(1).cast("long")})
+    numbered = running_before(placed, ["_position", ROW, "rule_id", "message"], "_one", "place")
+    return numbered.withColumn("place", F.col("place") + 1).drop("_position", "_one")
 
 
 def validate(

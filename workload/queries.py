@@ -32,18 +32,18 @@ from touchstone.operators import (
 )
 from touchstone.operators.keys import duplicates_by
 from touchstone.plans.analytics import exposed, load_dispersion, reassignments
-from touchstone.plans.engine import entity_findings, expanded, validate
+from touchstone.plans.engine import entity_findings, expanded, ranked, validate
 from touchstone.plans.gates import accepted_dataset
 from touchstone.plans.locations import location_violations
-from touchstone.plans.monitoring import complete_runs, run_status, severity_rollup, status_rollup
-from touchstone.plans.operations import OPERATIONS
+from touchstone.plans.monitoring import complete_runs, finding_evidence, run_status, severity_rollup, status_rollup
+from touchstone.plans.operations import MASTER, OPERATIONS
 from touchstone.plans.rules import Entity, Pack
 from touchstone.plans.weather import HOURLY_FIELDS, flatten, response_contract
 from touchstone.session import ensure_checkpoint_dir
 from touchstone.sources import land_all
 from workload.operations_oracle import gate_oracle, operations_oracles
 from workload.retail import RETAIL, TABLES_SQL, retail_tables
-from workload.views import TABLES, load, operations_tables
+from workload.views import TABLES, load, operations_tables, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,17 +105,19 @@ def rule_domain(spark, folder):
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_shipdate <= o_orderdate""",
 )
 def rule_window(spark, folder):
-    lines = load(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("string").alias("shipped")
-    )
-    dates = load(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("string").alias("ordered"))
-    rows = lookup(lines, "l_orderkey", dates, "o_orderkey", {"ordered": "ordered"}, found="known").where("known")
-    rows = rows.withColumns({"_s": iso_timestamp(F.col("ordered")), "_e": iso_timestamp(F.col("shipped"))})
-    in_order = F.col("_e.at_us") > F.col("_s.at_us")
-    day = iso_date(F.substring("ordered", 1, 10)) == iso_date(F.substring("shipped", 1, 10))
-    return rows.where(~F.coalesce(in_order, F.lit(False))).select(
+    def moment(text: Column, name: str) -> dict[str, Column]:
+        # Parsed where the text is, before the rows meet.
+        return {f"{name}_us": iso_timestamp(text)["at_us"], f"{name}_day": iso_date(F.substring(text, 1, 10))}
+
+    lines = spread(load(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))
+    lines = lines.withColumns(moment(F.col("l_shipdate").cast("string"), "end"))
+    orders = spread(load(spark, folder, "orders").select("o_orderkey", "o_orderdate"))
+    orders = orders.withColumns(moment(F.col("o_orderdate").cast("string"), "start"))
+    carried = {c: c for c in ("start_us", "start_day")}
+    rows = lookup(lines, "l_orderkey", orders, "o_orderkey", carried, found="known").where("known")
+    return rows.where(~F.coalesce(F.col("end_us") > F.col("start_us"), F.lit(False))).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        (F.col("_e.at_us") < F.col("_s.at_us")).alias("early"), day.alias("same_day"),
+        (F.col("end_us") < F.col("start_us")).alias("early"), (F.col("start_day") == F.col("end_day")).alias("same_day"),
     )
 
 
@@ -542,8 +544,7 @@ def _forecasts(spark, folder, label: Column | None = None) -> DataFrame:
         F.when(label == 6, n + 1).otherwise(n).alias("hourly_record_count"),
         F.struct(F.lit(3).alias("forecast_days")).alias("request_parameters"), payload.alias("payload"),
     )
-    # Forecasts come in files of their own, so they are spread; the table may be one small file.
-    rows = load(spark, folder, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    rows = spread(load(spark, folder, "embeddings"))
     return rows.select(F.parse_json(F.to_json(record)).alias("record"), F.col("vec_id").cast("string").alias("_source_file"))
 
 
@@ -764,6 +765,27 @@ def dq_run_summary(spark, folder):
     return _retail(spark, folder).run_summary().drop("duration_seconds")
 
 
+@query(
+    "findings_ranked",
+    f"""WITH {TABLES_SQL} SELECT entity, record_id, rule_id, severity, outcome,
+        ROW_NUMBER() OVER (ORDER BY entity, r, rule_id, message) AS place FROM findings""",
+)
+def findings_ranked(spark, folder):
+    """Findings with their place in the stable reading order."""
+    result = _retail(spark, folder)
+    rows = ranked(result.findings, result.entities)
+    return rows.select("entity", "record_id", "rule_id", "severity", "outcome", "place")
+
+
+@query(
+    "finding_evidence",
+    f"""WITH {TABLES_SQL} SELECT entity, record_id, rule_id, severity, outcome, CAST(1 AS BIGINT) AS occurrences FROM findings""",
+)
+def finding_evidence_query(spark, folder):
+    rows = finding_evidence(_retail(spark, folder).findings, "retail")
+    return rows.select("entity", "record_id", "rule_id", "severity", "outcome", "occurrences")
+
+
 @query(
     "severity_rollup",
     f"WITH {TABLES_SQL} SELECT severity, COUNT(*) AS finding_count FROM findings GROUP BY severity",
@@ -843,7 +865,23 @@ def _operations_query(entity: str) -> Query:
     return run
 
 
-for _entity, _sql in operations_oracles().items():
+_ORACLES_OF = operations_oracles()
+
+
+@query(
+    "operations_master",
+    " UNION ALL ".join(f"SELECT '{name}' AS entity, * FROM ({_ORACLES_OF[name]})" for name in MASTER),
+)
+def operations_master(spark, folder):
+    """The master entities by themselves, as one run of their scope."""
+    tables = operations_tables(spark, folder)
+    rows = validate({name: tables[name] for name in MASTER}, OPERATIONS, "master", scope="master").findings
+    return rows.select(
+        "entity", F.col("_row_index").alias("row_index"), "record_id", "rule_id", "message", "occurrences",
+    )
+
+
+for _entity, _sql in _ORACLES_OF.items():
     query(f"operations_{_entity}", _sql)(_operations_query(_entity))
 
 
