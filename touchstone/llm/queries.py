@@ -223,3 +223,24 @@ WITH usable AS (
 )
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
 """
+
+ORACLES["op10_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, spot, spot + least(5, len(words)) - 1), ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - least(5, len(words)) + 2)) AS spot FROM words WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 5 * common >= 4 * (a.n + b.n - common)
+), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other
+), counted AS (SELECT x AS doc_id, count(*) AS n_links FROM edges GROUP BY x)
+SELECT r.doc_id, min(r.other) AS class_id, coalesce(any_value(c.n_links), 0) AS n_links
+FROM reach r LEFT JOIN counted c ON c.doc_id = r.doc_id GROUP BY r.doc_id
+"""
