@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from touchstone.plans.engine import duplicate_findings, entity_findings, validate
 from touchstone.plans.gates import GATES
 from touchstone.plans.operations import MASTER, OPERATIONS
-from touchstone.plans.rules import Unique
+from touchstone.plans.rules import Check, Entity, Link, Pack, Unique
 from touchstone.session import entity_jobs
 
 
@@ -105,3 +105,34 @@ def test_entity_jobs_overlap_and_carry_their_tag(spark):
 
     with pytest.raises(ValueError):
         entity_jobs(spark, ["a"], broken)
+
+
+def test_links_shuffle_outcomes_not_what_checks_read(spark, tmp_path):
+    tables = stored(spark, tmp_path / "t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = entity_findings(tables, OPERATIONS, "field_schedules")
+        plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = [part for part in plan.split("\n\n") if "Exchange\nInput" in part]
+    assert any("_failed_0" in part for part in shuffled)
+    for column in ("planned_crew_hours", "planned_labor_hours", "scheduled_date", "_start", "_end", "_labor"):
+        assert not any(f"{column}#" in part.split("Arguments")[0] for part in shuffled), column
+
+
+def test_more_checks_than_bits_of_a_column(spark):
+    # Beside a link: 130 checks, one of them null, one that reads the link.
+    def checks():
+        own = [Check((f"R{i}",), f"divided by {i}", F.col("n") % i == 0) for i in range(1, 129)]
+        return [*own, Check(("N",), "unknown", F.lit(None).cast("boolean")), Check(("L",), "linked", F.col("_found_up") & (F.col("n") > 5))]
+
+    entities = [Entity("a", ("k", "up", "n"), ("k",), "k", checks), Entity("b", ("k",), ("k",), "k")]
+    pack = Pack([], entities, [Link("a", "up", "b", "k", rule_ids=("F",))])
+    tables = {
+        "a": spark.createDataFrame([(i, f"k{i}", "x" if i % 2 else "y", i) for i in (1, 6, 7, 128)], "_row_index long, k string, up string, n int"),
+        "b": spark.createDataFrame([(0, "x")], "_row_index long, k string"),
+    }
+    got = Counter((r._row_index, r.rule_id) for r in entity_findings(tables, pack, "a").collect())
+    expected = {(i, f"R{d}") for i in (1, 6, 7, 128) for d in range(1, 129) if i % d == 0} | {(6, "F"), (128, "F"), (7, "L")}
+    assert got == Counter(expected)

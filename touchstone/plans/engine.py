@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -21,6 +21,9 @@ from touchstone.session import entity_jobs, materialize
 #: Columns that landing adds; everything else is source data.
 _LANDING = (ROW, "_source_file")
 
+#: Checks that share one column of bits.
+_WORD = 62
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -51,6 +54,25 @@ def _link_check(link: Link) -> Check:
     return Check(link.rule_ids, link.message, fails)
 
 
+def _decided(rows: DataFrame, checks: Sequence[Check], links: Sequence[Link]) -> tuple[DataFrame, list[Check]]:
+    """``rows`` with a bit for every check that names no column of a link, and the checks, which then read these bits.
+
+    Joins that follow carry the bits, not the columns that the checks read.
+    """
+    added = {name for link in links for name in (link.found, *link.attributes)}
+    settled = [i for i, check in enumerate(checks) if not any(name in str(check.fails) for name in added)]
+    out, words = list(checks), {}
+    for start in range(0, len(settled), _WORD):
+        name = f"_failed_{start // _WORD}"
+        bits = []
+        for place, i in enumerate(settled[start : start + _WORD]):
+            bit = F.lit(1 << place).cast("long")
+            bits.append(F.when(checks[i].fails, bit).otherwise(F.lit(0).cast("long")))
+            out[i] = replace(checks[i], fails=F.col(name).bitwiseAND(bit) != 0)
+        words[name] = reduce(Column.bitwiseOR, bits)
+    return rows.withColumns(words) if words else rows, out
+
+
 def row_findings(rows: DataFrame, checks: list[Check]) -> DataFrame:
     """All row checks of one entity in one projection over one scan."""
     entries = [
@@ -130,6 +152,8 @@ def entity_findings(tables: Mapping[str, DataFrame], pack: Pack, name: str) -> D
     compares = entity.unique or entity.set_rules
     narrow = set_rows(rows, entity, links) if compares else rows
     linked, checks = rows, list(entity.checks())
+    if links:
+        linked, checks = _decided(rows, checks, links)
     for link in links:
         if link.target not in tables:
             raise ValueError(f"dataset is missing required entities: {link.target}")
