@@ -10,6 +10,8 @@ from touchstone.operators import (
     looping_roots,
     without_successor,
 )
+from touchstone.operators import lineage
+from touchstone.session import materialize
 
 SCHEMA = "i long, id string, pred string, status string, at string"
 
@@ -149,3 +151,24 @@ def test_many_tails_into_a_long_loop(spark):
     rows += [(2000 + i, f"t{i}", "", "Rescheduled", "t") for i in range(0, 300, 100)]
     got = [tuple(r) for r in chains(spark.createDataFrame(rows, SCHEMA), "id", "pred", "status", "Rescheduled", "i").collect()]
     assert len(got) == 3 * 301 and set(got) == walked(rows)
+
+
+def test_rounds_hold_a_row_a_link_at_most(spark, monkeypatch):
+    # A long tail keeps rounds going while forty short chains have entered their loops.
+    pairs = [(f"t{i}", f"t{i - 1}" if i else "") for i in range(260)]
+    for k in range(40):
+        pairs += [(f"r{k}", ""), (f"a{k}", f"r{k}"), (f"b{k}", f"a{k}"), (f"a{k}", f"b{k}")]
+    pairs += [(f"l{i}", f"l{(i - 1) % 50}") for i in range(50)]  # a loop without a way in
+    rows = [(i, node, pred, "Rescheduled", "t") for i, (node, pred) in enumerate(pairs)]
+    sizes = []
+
+    def counted(frame):
+        kept = materialize(frame)
+        sizes.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(lineage, "materialize", counted)
+    got = [tuple(r) for r in chains(spark.createDataFrame(rows, SCHEMA), "id", "pred", "status", "Rescheduled", "i").collect()]
+    assert len(got) == 260 + 3 * 40 and set(got) == walked(rows)
+    links = len([1 for _, pred in pairs if pred])
+    assert max(sizes) <= links

@@ -7,6 +7,8 @@ checkpointed, which keeps the plan flat and survives lost executors.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,55 +82,90 @@ def closed_predecessors(
 def loop_places(steps: DataFrame) -> DataFrame:
     """Where each node of a loop stands: ``member``, ``leader``, ``ahead``.
 
-    ``steps(from, node)`` must consist of closed loops.  The leader of a loop is
-    its smallest member; it lies ``ahead`` steps from the member.  Each round
-    looks twice as far ahead, and once a round changes nothing every member has
-    seen its whole loop.
+    ``steps(from, node)`` must consist of closed loops; ``length``, where they have
+    it, says how far a step leads (1 otherwise).  The leader of a loop is its
+    smallest member; it lies ``ahead`` of the member.  Each round looks twice as
+    far ahead, and once a round changes nothing every member has seen its whole loop.
     """
+    length = F.col("length") if "length" in steps.columns else F.lit(1).cast("long")
     places = materialize(
         steps.select(
-            F.col("from").alias("member"), F.col("node").alias("next"),
+            F.col("from").alias("member"), F.col("node").alias("next"), length.alias("span"),
             F.col("from").alias("leader"), F.lit(0).cast("long").alias("ahead"),
         )
     )
-    span, moved = 1, True
+    moved = True
     while moved:
         beyond = places.select(
-            F.col("member").alias("next"), F.col("next").alias("_next"),
-            F.col("leader").alias("_leader"), (F.col("ahead") + span).alias("_ahead"),
+            F.col("member").alias("next"), F.col("next").alias("_next"), F.col("span").alias("_span"),
+            F.col("leader").alias("_leader"), F.col("ahead").alias("_ahead"),
         )
         closer = F.col("_leader") < F.col("leader")
         places = materialize(
             places.join(beyond, "next").select(
                 "member",
                 F.col("_next").alias("next"),
+                (F.col("span") + F.col("_span")).alias("span"),
                 F.least("leader", "_leader").alias("leader"),
-                F.when(closer, F.col("_ahead")).otherwise(F.col("ahead")).alias("ahead"),
+                F.when(closer, F.col("span") + F.col("_ahead")).otherwise(F.col("ahead")).alias("ahead"),
                 closer.alias("_moved"),
             )
         )
-        span, moved = 2 * span, not places.where("_moved").isEmpty()
+        moved = not places.where("_moved").isEmpty()
     return places.select("member", "leader", "ahead")
 
 
-def _descents(links: DataFrame, tails: DataFrame, *, loops: bool = True) -> DataFrame | None:
-    """``(node, top, depth)``: the ends without a predecessor above every node of ``tails``.
+def _stretches(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(node, head, depth)`` of nodes inside stretches, and the ``(from, node)`` that lead to their heads.
+
+    A node that one link leads to lies inside a stretch, ``depth`` steps behind its
+    head: the first node above it that no link or several lead to.  Such a node
+    has one pointer back, which a round lets reach twice as far, so rounds hold a
+    row a node at most, and fewer as pointers reach their heads.  What never does
+    are loops without a way in: once a round loses no pointer only they are left,
+    and they belong to no chain.
+    """
+    ways = materialize(links.groupBy("node").agg(F.count(F.lit(1)).alias("ways"), F.min("from").alias("from")))
+    moving = ways.where("ways = 1").select(
+        "node", F.col("from").alias("head"), F.lit(1).cast("long").alias("depth"), F.lit(False).alias("settled")
+    )
+    rounds: list[DataFrame] = []
+    left, before = 1, 0
+    while left and left != before:
+        every = reduce(DataFrame.unionByName, [*(r.where("settled") for r in rounds), moving])
+        ahead = every.select(
+            F.col("node").alias("head"), F.col("head").alias("_head"), F.col("depth").alias("_depth"), F.col("settled").alias("_settled")
+        )
+        # Without a pointer of its own the node pointed to is a head.
+        reached = materialize(
+            moving.join(ahead, "head", "left").select(
+                "node", F.coalesce("_head", "head").alias("head"),
+                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"), F.coalesce("_settled", F.lit(True)).alias("settled"),
+            )
+        )
+        rounds.append(reached)
+        moving = reached.where("NOT settled")
+        left, before = moving.count(), left if len(rounds) > 1 else 0
+    settled = reduce(DataFrame.unionByName, [r.where("settled") for r in rounds]).drop("settled")
+    merging = ways.where("ways > 1").select("node")
+    return settled, links.join(merging, "node", "left_semi").select("from", "node")
+
+
+def _descents(links: DataFrame) -> DataFrame:
+    """``(node, top, depth)``: the ends without a predecessor above every node of ``links(from, node, length)``.
 
-    Pointers run back towards the top and are settled there.  At one distance a
-    node is above one node only, so a round never holds more rows than there
-    are links; without loops the distances end.  With ``loops`` the answer is
-    None as soon as a round does not get smaller, since there may be loops then.
+    Links must not close into loops.  Pointers run back towards the top and are
+    settled there; a round lets them reach over twice as many links.
     """
     inner = links.select(F.col("node").alias("top")).distinct().withColumn("_inner", F.lit(True))
-    pointers = tails.select("node", F.col("from").alias("top"), F.lit(1).cast("long").alias("depth"))
+    pointers = links.select("node", F.col("from").alias("top"), F.col("length").alias("depth"))
     pointers = materialize(
         pointers.join(inner, "top", "left").select(
             "node", "top", "depth", F.col("_inner").isNull().alias("settled")
         )
     )
     settled, moving = pointers.where("settled"), pointers.where("NOT settled")
-    left = moving.count()
-    while left:
+    while not moving.isEmpty():
         ahead = settled.unionByName(moving).select(
             F.col("node").alias("top"),
             F.col("top").alias("next_top"),
@@ -145,9 +182,6 @@ def _descents(links: DataFrame, tails: DataFrame, *, loops: bool = True) -> Data
         )
         settled = settled.unionByName(joined.where("settled"))
         moving = joined.where("NOT settled")
-        left, before = moving.count(), left
-        if loops and left >= before:
-            return None
     return settled.select("node", "top", "depth")
 
 
@@ -158,11 +192,14 @@ def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, ord
     row per member, so a chain of any length stays spread out.  Of several rows
     naming one predecessor the last by ``order`` is its successor.
 
-    A chain may run into a loop.  The links then form a map whose loops are taken
-    out first: what is left are tails, which end at the node where they enter a
-    loop, and a loop is only ever looked at as a list of places.  A chain that
-    enters it goes round once, so each member that can be reached is returned
-    once, at its distance from the root, with ``in_loop`` true on the loop.
+    The links form a map.  It is first cut into stretches, which begin at a root
+    or where chains meet; all that follows runs on the heads of stretches, and
+    the members of a stretch come back at the end.  A chain may run into a loop.
+    Loops of heads are taken out: what is left are tails, which end at the head
+    where they enter a loop, and a loop is only ever looked at as a list of
+    places.  A chain that enters it goes round once, so each member that can be
+    reached is returned once, at its distance from the root, with ``in_loop``
+    true on the loop.
     """
     linked = rows.where(present(F.col(parent)))
     links = materialize(
@@ -174,20 +211,28 @@ def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, ord
         .distinct()
     )
     first = roots.select("root", F.lit(0).cast("long").alias("depth"), F.col("root").alias("node"), F.lit(False).alias("in_loop"))
-    found = _descents(links, links)
-    if found is not None:  # no loops anywhere
-        reached = found.withColumnRenamed("top", "root").join(roots, "root", "left_semi")
-        return reached.select("root", "depth", "node", F.lit(False).alias("in_loop")).unionByName(first)
-
-    loops = cycle_members(links, "from", "node").select(F.col("node").alias("from"))
-    places = loop_places(links.join(loops, "from", "left_semi"))
-    found = _descents(links, links.join(loops, "from", "left_anti"), loops=False)
+    inside, meeting = _stretches(links)
+    # A link to a head starts at a head or inside a stretch, which it leads out of.
+    ends = inside.select(F.col("node").alias("from"), F.col("head").alias("_head"), F.col("depth").alias("_depth"))
+    steps = materialize(
+        meeting.join(ends, "from", "left").select(
+            F.coalesce("_head", "from").alias("from"), "node", (F.coalesce("_depth", F.lit(0)) + 1).cast("long").alias("length")
+        )
+    )
+    if steps.isEmpty():  # no chains meet, so none enters a loop
+        members = inside.withColumnRenamed("head", "root").join(roots, "root", "left_semi")
+        return members.select("root", "depth", "node", F.lit(False).alias("in_loop")).unionByName(first)
+
+    loops = cycle_members(steps, "from", "node").select(F.col("node").alias("from"))
+    round_steps = materialize(steps.join(loops, "from", "left_semi"))
+    places = loop_places(round_steps)
+    found = _descents(steps.join(loops, "from", "left_anti"))
     reached = found.withColumnRenamed("top", "root").join(roots, "root", "left_semi")
     standing = places.select(F.col("member").alias("node"), "leader", F.col("ahead").alias("_ahead"))
     reached = materialize(reached.join(standing, "node", "left"))
     # Once round from the entry: the rest of its loop follows, in steps from the entry.
     entered = reached.where("leader IS NOT NULL").select("root", F.col("node").alias("entry"), "depth", "leader", "_ahead")
-    lengths = places.groupBy("leader").agg(F.count(F.lit(1)).alias("_length"))
+    lengths = round_steps.join(places, F.col("from") == F.col("member")).groupBy("leader").agg(F.sum("length").alias("_length"))
     around = (
         entered.join(lengths, "leader").join(places, "leader").where("member <> entry")
         .select(
@@ -195,8 +240,11 @@ def chains(rows: DataFrame, node: str, parent: str, status: str, value: str, ord
             F.col("member").alias("node"), F.lit(True).alias("in_loop"),
         )
     )
-    reached = reached.select("root", "depth", "node", F.col("leader").isNotNull().alias("in_loop"))
-    return reached.unionByName(around).unionByName(first)
+    heads = reached.select("root", "depth", "node", F.col("leader").isNotNull().alias("in_loop")).unionByName(around).unionByName(first)
+    # A link leads to one node, so the whole stretch behind a head on a loop lies on it.
+    behind = inside.select(F.col("head").alias("node"), F.col("node").alias("_member"), F.col("depth").alias("_within"))
+    members = heads.join(behind, "node").select("root", (F.col("depth") + F.col("_within")).alias("depth"), F.col("_member").alias("node"), "in_loop")
+    return members.unionByName(heads)
 
 
 def looping_roots(members: DataFrame) -> DataFrame:
