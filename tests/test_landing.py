@@ -33,6 +33,7 @@ from touchstone.sources import (
     write_quarantine,
 )
 from touchstone.operators.scan import running_before
+from touchstone.sources import landing
 from touchstone.sources.landing import with_row_index
 
 DAY = "2026-08-03"
@@ -241,3 +242,20 @@ def test_csv_to_summary(spark, tmp_path):
     for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("sink_")]:
         spark.sql(f"DROP TABLE {name}")
     spark.sql(f"DROP TABLE {table}")
+
+
+@pytest.mark.parametrize("most", [None, 0], ids=["few blocks", "many blocks"])
+def test_rows_are_numbered_without_a_shuffle_where_blocks_are_few(spark, tmp_path, monkeypatch, most):
+    (tmp_path / "parts").mkdir()
+    for part in range(2):
+        (tmp_path / "parts" / f"part-{part}.csv").write_text("n\n" + "".join(f"{part * 3000 + i}\n" for i in range(3000)))
+    if most is not None:
+        monkeypatch.setattr(landing, "_BROADCAST_BLOCKS", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = with_row_index(scan_csv(spark, str(tmp_path / "parts")))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange hashpartitioning" in plan) == (most == 0)
+        assert sorted((r._row_index, int(r.n)) for r in rows.collect()) == [(i, i) for i in range(6000)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -4,7 +4,9 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from workload import queries
 from workload.check import rows_of
 from workload.queries import ORACLES, QUERIES
 from workload.views import TABLES
@@ -46,3 +48,13 @@ def test_every_rule_fires_in_its_sql():
     for name in OPERATIONS.entities:
         fired |= {row[0] for row in base.execute(f"SELECT DISTINCT rule_id FROM ({ORACLES[f'operations_{name}']})").fetchall()}
     assert fired == {rule.rule_id for rule in OPERATIONS.rules}
+
+
+def test_only_columns_that_can_break_a_line_are_searched(spark):
+    rows = spark.sql("""SELECT 7 AS n, 1.5D AS d, TIMESTAMP '2026-01-02 03:04:05' AS t, array(1.5, NULL) AS v, 'a"b\\r\\nc' AS s,
+        array('x"y', 'z\\n') AS words, named_struct('q', 'p"') AS own, cast(NULL AS string) AS none""")
+    shown = rows.select(*[queries._one_line(field).alias(field.name) for field in rows.schema])
+    before = rows.select(*[F.regexp_replace(F.col(c).cast("string"), r"[\r\n\"]", " ").alias(c) for c in rows.columns])
+    assert shown.collect() == before.collect()
+    plan = shown._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_replace") == 4

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchstone.functions import finite_decimal, iso_date, iso_timestamp, missing, one_of, within_tolerance
 from touchstone.functions.variants import absent, at, kind, misaligned, missing_fields, strict_float, strict_int
@@ -39,7 +40,7 @@ from touchstone.plans.monitoring import complete_runs, finding_evidence, run_sta
 from touchstone.plans.operations import MASTER, OPERATIONS
 from touchstone.plans.rules import Entity, Pack
 from touchstone.plans.weather import HOURLY_FIELDS, flatten, response_contract
-from touchstone.session import ensure_checkpoint_dir
+from touchstone.session import ensure_checkpoint_dir, entity_jobs
 from touchstone.sources import land_all
 from workload.operations_oracle import gate_oracle, operations_oracles
 from workload.retail import RETAIL, TABLES_SQL, retail_tables
@@ -794,6 +795,15 @@ def severity_rollup_query(spark, folder):
     return severity_rollup(_retail(spark, folder).findings, "retail")
 
 
+def _one_line(field: T.StructField) -> Column:
+    """A column as text, with blanks for line breaks and quotes; only types that can hold them are searched."""
+    kind = field.dataType.elementType if isinstance(field.dataType, T.ArrayType) else field.dataType
+    text = F.col(f"`{field.name}`").cast("string")
+    if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return text
+    return F.regexp_replace(text, r"[\r\n\"]", " ")
+
+
 @query(
     "row_counts",
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLES),
@@ -801,13 +811,14 @@ def severity_rollup_query(spark, folder):
 def row_counts(spark, folder):
     """Counts that landing reports for CSV copies of the tables."""
     place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
-    entities = []
-    for name in TABLES:
+
+    def copy(name: str) -> Entity:
         table = load(spark, folder, name)
         # Text only: a list is spelled out, and no value breaks a line.
-        plain = table.select(*[F.regexp_replace(F.col(f"`{c}`").cast("string"), r"[\r\n\"]", " ").alias(c) for c in table.columns])
-        plain.write.option("header", True).option("emptyValue", "").csv(f"{place}/{name}.csv")
-        entities.append(Entity(name, tuple(table.columns), tuple(table.columns), table.columns[0]))
+        table.select(*[_one_line(field).alias(field.name) for field in table.schema]).write.option("header", True).option("emptyValue", "").csv(f"{place}/{name}.csv")
+        return Entity(name, tuple(table.columns), tuple(table.columns), table.columns[0])
+
+    entities = [entity for entity, _ in entity_jobs(spark, TABLES, copy).values()]
     sources = {name: f"{place}/{name}.csv" for name in TABLES}
     landed = land_all(spark, Pack([], entities), sources, "2026-08-03", "counts", root=f"{place}/landed")
     return spark.createDataFrame([(r.entity_name, r.row_count) for r in landed], "table_name string, row_count long")
